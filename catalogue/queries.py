@@ -113,7 +113,9 @@ def _query_scores(spark, sf, **options):
 
 
 def _cost_scores(spark, sf):
-    return an.daily_cost_anomalies(ro.spend_by_attribution(v.usage_events(spark, sf)))
+    spend = ro.spend_by_attribution(v.usage_events(spark, sf))
+    # squares of 18 digits fit a decimal without loss
+    return an.daily_cost_anomalies(spend.withColumn("cost_usd_total", F.col("cost_usd_total").cast(v.MONEY)))
 
 
 @query

@@ -11,6 +11,7 @@ another engine does not depend on the order of rows.
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,8 +37,29 @@ WINDOW = (date(1998, 5, 1), date(1998, 5, 15))
 MONEY = "decimal(18,4)"
 
 
+# columns of the test tables that are used; a given schema saves a job per read
+TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def hundredths(amount: Column) -> Column:
+    """An amount with two decimals as a whole number of hundredths."""
+    return F.round(amount * 100).cast("bigint")
+
+
+def _in_units(total: Column, unit: str) -> Column:
+    return (total.cast("decimal(18,0)") * F.lit(Decimal(unit))).cast(MONEY)
 
 
 def _exact(records: DataFrame) -> DataFrame:
@@ -61,19 +83,18 @@ def daily_service_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         F.to_date("l_shipdate").alias("usage_date"),
-        (
-            F.col("l_extendedprice").cast("decimal(12,2)")
-            * (F.lit(1).cast("decimal(1,0)") - F.col("l_discount").cast("decimal(4,2)"))
-        ).alias("cost"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
-    )
-    nations = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+        (hundredths(F.col("l_extendedprice")) * (100 - hundredths(F.col("l_discount")))).alias("cost"),
+        hundredths(F.col("l_quantity")).alias("quantity"),
     )
+    suppliers, nations = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     return (
-        items.join(nations, F.col("l_suppkey") == F.col("s_suppkey"))
+        items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
         .groupBy(F.col("n_name").alias("service"), "usage_date")
-        .agg(F.sum("cost").cast(MONEY).alias("cost_usd"), F.sum("quantity").cast(MONEY).alias("usage_quantity"))
+        .agg(
+            _in_units(F.sum("cost"), "0.0001").alias("cost_usd"),
+            _in_units(F.sum("quantity"), "0.01").alias("usage_quantity"),
+        )
     )
 
 
@@ -97,7 +118,7 @@ def forecast_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = table(spark, sf_dir, "lineitem").filter(
         F.to_date("l_shipdate").between(F.lit("1998-05-01").cast("date"), F.lit(COST_AS_OF))
     )
-    total = month.agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("total"))
+    total = month.agg(_in_units(F.sum(hundredths(F.col("l_extendedprice"))), "0.01").alias("total"))
     collections = total.select("total", F.explode(F.array(F.lit(1), F.lit(2))).alias("age"))
     return _complete(
         collections,
@@ -175,7 +196,7 @@ def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metering_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credits per warehouse and hour: one hundredth of the milliseconds."""
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
-    credits = (F.sum(F.col("value").cast("decimal(12,2)")) * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
+    credits = _in_units(F.sum(hundredths(F.col("value"))), "0.0001")
     return (
         table(spark, sf_dir, "events")
         .groupBy(F.concat(F.lit("WH_"), F.upper("event_type")).alias("WAREHOUSE_NAME"), hour.alias("START_TIME"))
@@ -325,7 +346,9 @@ def billing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in COST_FORECAST_PAYLOAD}
-    total = table(spark, sf_dir, "lineitem").agg(F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).alias("t"))
+    total = table(spark, sf_dir, "lineitem").agg(
+        _in_units(F.sum(hundredths(F.col("l_extendedprice"))), "0.01").alias("t")
+    )
     return total.select(
         F.struct(F.col("t").cast("string"), F.lit("USD")).cast(kinds["Total"]).alias("Total"),
         F.array().cast(kinds["ForecastResultsByTime"]).alias("ForecastResultsByTime"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed_values import (
     MIN_BASELINE_ROWS,
@@ -23,8 +24,8 @@ _STATS = ("__n", "__total", "__squares")
 def _group_measures(value: Column) -> list[Column]:
     """Count, sum and sum of squares of the values that are there.
 
-    They describe a group completely for this purpose, combine before the shuffle, and
-    for a decimal value column are exact, so independent of the order of rows.
+    They describe a group completely for this purpose and combine before the shuffle. For
+    a decimal column of up to 18 digits they are exact, so independent of the order of rows.
     """
     return [F.count(value), F.sum(value), F.sum(value * value)]
 
@@ -34,7 +35,10 @@ def _scored(df: DataFrame, value: Column, z_threshold: float, min_group_size: in
     columns = [c for c in df.columns if c not in _STATS]
     others = F.when(value.isNotNull(), F.col("__n") - 1)
     mean = (F.col("__total") - value).cast("double") / others
-    mean_square = (F.col("__squares") - value * value).cast("double") / others
+    squares, kind = F.col("__squares"), df.schema["__squares"].dataType
+    if isinstance(kind, T.DecimalType):  # one digit less, which the subtraction needs to stay exact
+        squares = squares.cast(T.DecimalType(min(kind.precision, 37), kind.scale))
+    mean_square = (squares - value * value).cast("double") / others
     has_others = others > 0
     based = df.select(
         *columns,
