@@ -50,6 +50,13 @@ def _labelled(parts: dict[str, DataFrame], name: str = "part") -> DataFrame:
     return reduce(DataFrame.unionByName, [df.withColumn(name, F.lit(k)) for k, df in parts.items()])
 
 
+def _record_and_metadata(records: DataFrame, keys: tuple[str, ...], numbers: tuple[str, ...] = ()) -> DataFrame:
+    parsed = records.withColumn("__m", fmt.metadata_struct((*keys, *numbers)))
+    return parsed.select(
+        *RECORD, *[F.col(f"__m.{k}").alias(k) for k in keys], *[F.col(f"__m.{k}").cast("double").alias(k) for k in numbers]
+    )
+
+
 # --- rollups and enrichment -------------------------------------------------------------------
 
 
@@ -115,7 +122,7 @@ def _query_scores(spark, sf, **options):
 def _cost_scores(spark, sf):
     spend = ro.spend_by_attribution(v.usage_events(spark, sf))
     # squares of 18 digits fit a decimal without loss
-    return an.daily_cost_anomalies(spend.withColumn("cost_usd_total", F.col("cost_usd_total").cast(v.MONEY)))
+    return an.daily_cost_anomalies(materialize(spend.withColumn("cost_usd_total", F.col("cost_usd_total").cast(v.MONEY))))
 
 
 @query
@@ -363,11 +370,7 @@ def normalize_dimensions(spark, sf):
 def normalize_query_history(spark, sf):
     records = nz.normalize_query_history(v.query_history_rows(spark, sf), v.NOW)
     keys = ("query_type", "execution_status", "database_name", "schema_name", "warehouse_size", "query_text_preview")
-    return records.select(
-        *RECORD,
-        *[F.get_json_object("raw_metadata", f"$.{k}").alias(k) for k in keys],
-        *[F.get_json_object("raw_metadata", f"$.{k}").cast("double").alias(k) for k in ("bytes_scanned", "rows_produced")],
-    )
+    return _record_and_metadata(records, keys, ("bytes_scanned", "rows_produced"))
 
 
 @query
@@ -388,7 +391,7 @@ def normalize_metering(spark, sf):
 def normalize_job_runs(spark, sf):
     records = nz.normalize_job_runs(v.job_run_payloads(spark, sf), v.cluster_dump(spark, sf), v.NOW)
     keys = ("job_id", "result_state", "node_type_id", "num_workers", "cluster_source", "cluster_id")
-    return records.select(*RECORD, *[F.get_json_object("raw_metadata", f"$.{k}").alias(k) for k in keys])
+    return _record_and_metadata(records, keys)
 
 
 @query

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timezone
 from decimal import Decimal
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,9 @@ WINDOW = (date(1998, 5, 1), date(1998, 5, 15))
 MONEY = "decimal(18,4)"
 
 
+# a view is defined once per session and data set
+view = lru_cache(maxsize=None)
+
 # columns of the test tables that are used; a given schema saves a job per read
 TABLES = {
     "nation": "n_nationkey int, n_name string",
@@ -78,6 +81,7 @@ def _complete(df: DataFrame, **columns: Column) -> DataFrame:
 # --- cloud cost from lineitem -------------------------------------------------------------
 
 
+@view
 def daily_service_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(service, usage_date, cost_usd, usage_quantity) of shipped items by supplier nation."""
     items = table(spark, sf_dir, "lineitem").select(
@@ -98,6 +102,7 @@ def daily_service_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _complete(
         daily_service_cost(spark, sf_dir),
@@ -113,6 +118,7 @@ def cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def forecast_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two collections of a provider forecast, the newer one twice the shipped value of the month."""
     month = table(spark, sf_dir, "lineitem").filter(
@@ -135,6 +141,7 @@ def forecast_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def flat_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Charges per shipped item of a supplier.
 
@@ -164,6 +171,7 @@ def flat_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- warehouse queries from events ------------------------------------------------------------
 
 
+@view
 def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as a query-history dump has them."""
     events = table(spark, sf_dir, "events")
@@ -193,6 +201,7 @@ def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def metering_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credits per warehouse and hour: one hundredth of the milliseconds."""
     hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
@@ -207,14 +216,17 @@ def metering_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def query_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact(normalize_query_history(query_history_rows(spark, sf_dir), NOW))
 
 
+@view
 def metering_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact(normalize_warehouse_metering(metering_rows(spark, sf_dir), NOW))
 
 
+@view
 def cluster_event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two lifecycle events per user event; some of the second have no time."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -244,6 +256,7 @@ def _node_type(priority: Column) -> Column:
     )
 
 
+@view
 def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(job_id, run_id, run_name, started, run_ms, workers, node_type, state)."""
     order = F.col("o_orderkey")
@@ -259,6 +272,7 @@ def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("node_type", _node_type(F.col("priority")))
 
 
+@view
 def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = job_rows(spark, sf_dir)
     cost, basis, _ = estimate_cost(F.col("node_type"), F.col("workers"), F.col("run_ms"))
@@ -291,6 +305,7 @@ def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def job_run_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job runs as the jobs API lists them; where the cluster is described depends on the priority."""
     runs = job_rows(spark, sf_dir)
@@ -313,6 +328,7 @@ def job_run_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select(*[values[c].cast(kind).alias(c) for c, kind in kinds.items()])
 
 
+@view
 def cluster_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existing clusters, one per customer; every fifth is gone."""
     return table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 5 != 0).select(
@@ -325,6 +341,7 @@ def cluster_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- billing payloads --------------------------------------------------------------------------------
 
 
+@view
 def billing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response per day with a group per service, as many as there are nations.
 
@@ -344,6 +361,7 @@ def billing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(F.array(F.struct(period, F.col("groups"))).cast(kind).alias("ResultsByTime"))
 
 
+@view
 def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in COST_FORECAST_PAYLOAD}
     total = table(spark, sf_dir, "lineitem").agg(
@@ -355,6 +373,7 @@ def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def dimension_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Services with cost in the window, at most one per nation."""
     kind = DIMENSION_PAYLOAD["DimensionValues"].dataType
@@ -366,14 +385,17 @@ def dimension_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- everything together ------------------------------------------------------------------------------
 
 
+@view
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = (cost_records, forecast_records, query_records, metering_records, job_records)
     return reduce(DataFrame.unionByName, [part(spark, sf_dir) for part in parts])
 
 
+@view
 def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_events(usage_records(spark, sf_dir))
 
 
+@view
 def query_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_events(query_records(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,15 @@ def json_or_empty(column: str = "raw_metadata") -> Column:
     return F.coalesce(F.try_parse_json(F.col(column)), F.parse_json(F.lit("{}")))
 
 
+def tested_once(value: Column, condition: Callable[[Column], Column]) -> Column:
+    """A condition on an expression that is evaluated once however often it is named.
+
+    Catalyst moves a filter below the projection it refers to and repeats the projected
+    expression at every mention; a test of twelve prefixes would parse JSON twelve times.
+    """
+    return F.exists(F.array(value), condition)
+
+
 def starts_with_any(text: Column, prefixes: Iterable[str]) -> Column:
     """True when the text starts with one of the prefixes (null text gives null)."""
     test = F.lit(False)
