@@ -581,15 +581,7 @@ def display_formats(spark, sf):
 def raw_store_roundtrip(spark, sf):
     """Records of all tables written to a raw store and read back, summed up per day."""
     raw = new_path(spark, "raw-store")
-    parts = {
-        (fv.AWS, "cost_and_usage"): v.cost_records,
-        (fv.AWS, "cost_forecast"): v.forecast_records,
-        (fv.SNOWFLAKE, "query_history"): v.query_records,
-        (fv.SNOWFLAKE, "warehouse_metering_history"): v.metering_records,
-        (fv.DATABRICKS, "job_runs"): v.job_records,
-    }
-    for (source, name), records in parts.items():
-        rs.write_records(records(spark, sf), source=source, table=name, output_dir=raw, ingested_date=v.NOW.date())
+    v.land(spark, sf, raw)
     back = rs.read_raw_store(spark, raw)
     return back.groupBy("source", "resource_type", "usage_date").agg(
         F.count(F.lit(1)).alias("n"),
@@ -615,15 +607,7 @@ def latest_partition(spark, sf):
 @query
 def outputs_written(spark, sf):
     """The whole job over a written raw store; rows of every output table."""
-    raw, root = new_path(spark, "raw-store"), new_path(spark, "outputs")
-    for source, name, records in (
-        (fv.AWS, "cost_and_usage", v.cost_records),
-        (fv.AWS, "cost_forecast", v.forecast_records),
-        (fv.SNOWFLAKE, "query_history", v.query_records),
-        (fv.SNOWFLAKE, "warehouse_metering_history", v.metering_records),
-        (fv.DATABRICKS, "job_runs", v.job_records),
-    ):
-        rs.write_records(records(spark, sf), source=source, table=name, output_dir=raw, ingested_date=v.NOW.date())
-    written = pipeline.run(spark, raw, root, v.COST_AS_OF)
+    root = new_path(spark, "outputs")
+    written = pipeline.run(spark, v.landed_store(spark, sf), root, v.COST_AS_OF)
     tables = {name: out.read_latest(spark, root, name).agg(F.count(F.lit(1)).alias("n")) for name in written}
     return _labelled(tables, "output_table")

@@ -4,15 +4,16 @@
 - ``events`` gives warehouse query history, hourly metering and cluster events;
 - ``orders`` gives job runs, ``customer`` the cluster dump they refer to.
 
-Money and quantities are decimals here, so sums are exact and the comparison with
-another engine does not depend on the order of rows.
+The records are landed once per session in a raw store, from which the queries read like
+any user of the library. Money and quantities are then cast to decimals, so sums are exact
+and the comparison with another engine does not depend on the order of rows.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime, timezone
 from decimal import Decimal
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from tallyspark import fixed_values as fv
 from tallyspark.operators.enrich import enrich_events
 from tallyspark.operators.normalize import normalize_query_history, normalize_warehouse_metering
 from tallyspark.operators.pricing import estimate_cost, hours_of_ms
+from tallyspark.sources.materialize import new_path
+from tallyspark.sources.raw_store import read_raw_store, write_records
 from tallyspark.schema import (
     CLUSTER_EVENTS_PAYLOAD,
     COST_AND_USAGE_PAYLOAD,
@@ -103,7 +106,7 @@ def daily_service_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @view
-def cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _complete(
         daily_service_cost(spark, sf_dir),
         source=F.lit(fv.AWS),
@@ -119,7 +122,7 @@ def cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @view
-def forecast_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two collections of a provider forecast, the newer one twice the shipped value of the month."""
     month = table(spark, sf_dir, "lineitem").filter(
         F.to_date("l_shipdate").between(F.lit("1998-05-01").cast("date"), F.lit(COST_AS_OF))
@@ -217,12 +220,12 @@ def metering_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @view
-def query_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact(normalize_query_history(query_history_rows(spark, sf_dir), NOW))
 
 
 @view
-def metering_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_metering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact(normalize_warehouse_metering(metering_rows(spark, sf_dir), NOW))
 
 
@@ -273,7 +276,7 @@ def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @view
-def job_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landing_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = job_rows(spark, sf_dir)
     cost, basis, _ = estimate_cost(F.col("node_type"), F.col("workers"), F.col("run_ms"))
     ended = F.when(F.col("run_ms") > 0, F.timestamp_millis(F.unix_millis("started") + F.col("run_ms")))
@@ -385,10 +388,34 @@ def dimension_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- everything together ------------------------------------------------------------------------------
 
 
+LANDING = {
+    (fv.AWS, "cost_and_usage"): landing_cost,
+    (fv.AWS, "cost_forecast"): landing_forecast,
+    (fv.SNOWFLAKE, "query_history"): landing_queries,
+    (fv.SNOWFLAKE, "warehouse_metering_history"): landing_metering,
+    (fv.DATABRICKS, "job_runs"): landing_jobs,
+}
+
+
+def land(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
+    """Write the records of all tables to a raw store."""
+    for (source, name), records in LANDING.items():
+        write_records(
+            records(spark, sf_dir), source=source, table=name, output_dir=raw_dir, ingested_date=NOW.date()
+        )
+
+
+@view
+def landed_store(spark: SparkSession, sf_dir: str) -> str:
+    """The raw store made from the test tables, written once per session."""
+    raw_dir = new_path(spark, "landed")
+    land(spark, sf_dir, raw_dir)
+    return raw_dir
+
+
 @view
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = (cost_records, forecast_records, query_records, metering_records, job_records)
-    return reduce(DataFrame.unionByName, [part(spark, sf_dir) for part in parts])
+    return _exact(read_raw_store(spark, landed_store(spark, sf_dir)))
 
 
 @view
@@ -396,6 +423,20 @@ def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_events(usage_records(spark, sf_dir))
 
 
+def _one_table(spark: SparkSession, sf_dir: str, source: str, name: str) -> DataFrame:
+    return _exact(read_raw_store(spark, landed_store(spark, sf_dir), tables=[(source, name)]))
+
+
+@view
+def query_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_table(spark, sf_dir, fv.SNOWFLAKE, "query_history")
+
+
 @view
 def query_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_events(query_records(spark, sf_dir))
+
+
+@view
+def cost_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _one_table(spark, sf_dir, fv.AWS, "cost_and_usage")
