@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark import fixed_values as fv
@@ -208,10 +208,15 @@ def _by_service(spark, sf):
     return v.cost_records(spark, sf).withColumn("source", F.col("service"))
 
 
-def _rounded(forecast: DataFrame, digits: int = 3) -> DataFrame:
+def _steady(column: str, digits: int) -> Column:
+    """Rounded off the decimal grid, so that no exact tie hangs on the last bit of a double."""
+    return F.round(F.col(column) + 0.17 / 10**digits, digits).alias(column)
+
+
+def _rounded(forecast: DataFrame) -> DataFrame:
     """Fitted columns rounded: engines add up the regression sums in different orders."""
     fitted = [c for c in ("trend_slope_per_day", "trend_intercept", "trend_month_end_projection") if c in forecast.columns]
-    return forecast.withColumns({c: F.round(c, digits) for c in fitted})
+    return forecast.withColumns({c: _steady(c, 3) for c in fitted})
 
 
 @query
@@ -265,7 +270,7 @@ def forecast_reconciled(spark, sf):
 @query
 def forecast_series(spark, sf):
     forecast = fc.month_end_forecast(_by_service(spark, sf), v.COST_AS_OF)
-    return fc.forecast_series(forecast).select("source", "day", F.round("cumulative_cost_usd", 2).alias("cumulative_cost_usd"), "observed")
+    return fc.forecast_series(forecast).select("source", "day", _steady("cumulative_cost_usd", 2), "observed")
 
 
 @query
@@ -273,7 +278,7 @@ def forecast_method_compare(spark, sf):
     records = _by_service(spark, sf)
     month = fc.daily_cost_actuals(records).filter(F.col("usage_date").between(F.lit(date(1998, 5, 1)), F.lit(v.COST_AS_OF)))
     series = fc.forecast_method_series(fc.month_end_forecast(records, v.COST_AS_OF), fc.cumulative_cost(month))
-    return series.withColumns({c: F.round(c, 3) for c in ("run_rate_cost_usd", "trend_cost_usd")})
+    return series.withColumns({c: _steady(c, 3) for c in ("run_rate_cost_usd", "trend_cost_usd")})
 
 
 @query
@@ -552,7 +557,7 @@ def overview_forecast(spark, sf):
     )
     series = parts["forecast_preview"]
     return series.crossJoin(F.broadcast(parts["total_records"])).select(
-        "day", F.round("cumulative_cost_usd", 2).alias("cumulative_cost_usd"), "observed", "total_records"
+        "day", _steady("cumulative_cost_usd", 2), "observed", "total_records"
     )
 
 

@@ -92,8 +92,8 @@ def spend_report(by_source_date: DataFrame, by_attribution: DataFrame, **where)
 def top_attribution(by_attribution: DataFrame, limit: int = TOP_ATTRIBUTION) -> DataFrame:
     """The largest keys: by cost if any key has a positive cost, else by quantity.
 
-    The unit is the one seen last. One group-by, one small aggregate over its result and
-    a top-k; the input is not read twice because both use the same shuffle.
+    The unit is the one seen last. The input is a rollup, small next to the records; it is
+    read once for the totals and once for the flag.
     """
     unit_seen = F.when(F.col("usage_unit").isNotNull(), F.struct("usage_date", "usage_unit"))
     totals = by_attribution.groupBy("source", "attribution_key").agg(

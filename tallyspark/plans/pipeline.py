@@ -37,12 +37,15 @@ def totals_as_events(totals: DataFrame) -> DataFrame:
     return totals.select("source", "usage_date", "cost_basis", "cost_usd", "usage_unit", "usage_quantity")
 
 
-def build_outputs(spark: SparkSession, events: DataFrame, as_of: date) -> dict[str, DataFrame]:
+def build_outputs(
+    spark: SparkSession, events: DataFrame, as_of: date, *, rules_on_records: bool = True
+) -> dict[str, DataFrame]:
     """Every output table from enriched events.
 
     The events are read once for the daily totals, which go to the checkpoint folder;
     both rollups, the cost anomalies and the dollar and unit forecasts come from that
-    small table. Query anomalies and rules read the records they are about.
+    small table. Query anomalies and rules read the records they are about. A caller that
+    runs the rules on a written table instead turns ``rules_on_records`` off.
     """
     totals = materialize(daily_totals(events), "daily-totals")
     by_attribution = materialize(attribution_rollup(totals), "spend-by-attribution")
@@ -60,7 +63,8 @@ def build_outputs(spark: SparkSession, events: DataFrame, as_of: date) -> dict[s
     aws_row = forecast_by_source.filter(F.col("source") == AWS)
     if not aws_row.isEmpty():  # reads the staged totals only
         outputs["forecast_aws_reconciled"] = reconcile_with_native_forecast(aws_row, events)
-    outputs[SUGGESTIONS] = run_all_rules(spark, events)
+    if rules_on_records:
+        outputs[SUGGESTIONS] = run_all_rules(spark, events)
     return outputs
 
 
@@ -72,7 +76,7 @@ def run(spark: SparkSession, raw_dir: str, output_dir: str, as_of: date | None =
     """
     as_of = as_of or date.today()
     events = enrich_events(read_raw_store(spark, raw_dir))
-    outputs = build_outputs(spark, events, as_of)
+    outputs = build_outputs(spark, events, as_of, rules_on_records=False)
     written = {QUERY_ANOMALIES: write_output(outputs.pop(QUERY_ANOMALIES), output_dir, QUERY_ANOMALIES, as_of)}
     queries = spark.read.parquet(partition_path(output_dir, QUERY_ANOMALIES, as_of))
     outputs[SUGGESTIONS] = run_all_rules(spark, events, queries=queries)
