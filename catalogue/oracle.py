@@ -192,8 +192,8 @@ def _forecast(daily: str, keys: str, day: str) -> dict[str, str]:
     }
 
 
-_FITTED = """days_observed, total_so_far, round(trend_slope_per_day + 0.00017e0, 3) AS trend_slope_per_day, round(trend_intercept + 0.00017e0, 3) AS trend_intercept,
-    days_in_month, run_rate_per_day, run_rate_month_end_projection, round(trend_month_end_projection + 0.00017e0, 3) AS trend_month_end_projection, status, confidence"""
+_FITTED = """days_observed, total_so_far, round(trend_slope_per_day + 0.000173205e0, 3) AS trend_slope_per_day, round(trend_intercept + 0.000173205e0, 3) AS trend_intercept,
+    days_in_month, run_rate_per_day, run_rate_month_end_projection, round(trend_month_end_projection + 0.000173205e0, 3) AS trend_month_end_projection, status, confidence"""
 
 
 def _native(day: str) -> str:
@@ -374,14 +374,14 @@ ORACLE: dict[str, str] = {
         **_forecast("daily_actuals", "source", COST_DAY),
     ),
     "forecast_series": sql(
-        """SELECT source, CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.0017e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed
+        """SELECT source, CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.00173205e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed
            FROM fitted JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month""",
         "service_actuals",
         **_forecast("service_actuals", "source", COST_DAY),
     ),
     "forecast_method_compare": sql(
-        """SELECT f.source, CAST(d.day AS BIGINT) AS day, o.cumulative AS observed_cost_usd, round(run_rate_per_day * d.day + 0.00017e0, 3) AS run_rate_cost_usd,
-           round(trend_intercept + trend_slope_per_day * d.day + 0.00017e0, 3) AS trend_cost_usd
+        """SELECT f.source, CAST(d.day AS BIGINT) AS day, o.cumulative AS observed_cost_usd, round(run_rate_per_day * d.day + 0.000173205e0, 3) AS run_rate_cost_usd,
+           round(trend_intercept + trend_slope_per_day * d.day + 0.000173205e0, 3) AS trend_cost_usd
            FROM fitted f JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month
            LEFT JOIN (SELECT source, cumulative, row_number() OVER (PARTITION BY source ORDER BY usage_date) AS day FROM f1) o ON o.source = f.source AND o.day = d.day""",
         "service_actuals",
@@ -587,7 +587,7 @@ ORACLE: dict[str, str] = {
         "counted",
     ),
     "overview_forecast": sql(
-        """SELECT CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.0017e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed,
+        """SELECT CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.00173205e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed,
            (SELECT COUNT(*) FROM records) AS total_records FROM fitted JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month WHERE source = 'aws'""",
         "daily_actuals",
         **_forecast("daily_actuals", "source", COST_DAY),

@@ -210,7 +210,7 @@ def _by_service(spark, sf):
 
 def _steady(column: str, digits: int) -> Column:
     """Rounded off the decimal grid, so that no exact tie hangs on the last bit of a double."""
-    return F.round(F.col(column) + 0.17 / 10**digits, digits).alias(column)
+    return F.round(F.col(column) + 0.173205 / 10**digits, digits).alias(column)
 
 
 def _rounded(forecast: DataFrame) -> DataFrame:
