@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..fixed_values import AWS
+from ..fixed_values import AWS, SNOWFLAKE, SOURCES
 from ..operators.anomalies import daily_cost_anomalies, query_duration_anomalies, snowflake_queries
 from ..operators.enrich import enrich_events
 from ..operators.forecast import (
@@ -38,15 +39,22 @@ def totals_as_events(totals: DataFrame) -> DataFrame:
 
 
 def build_outputs(
-    spark: SparkSession, events: DataFrame, as_of: date, *, rules_on_records: bool = True
+    spark: SparkSession,
+    events: DataFrame,
+    as_of: date,
+    *,
+    by_source: Mapping[str, DataFrame] | None = None,
+    rules_on_records: bool = True,
 ) -> dict[str, DataFrame]:
     """Every output table from enriched events.
 
     The events are read once for the daily totals, which go to the checkpoint folder;
     both rollups, the cost anomalies and the dollar and unit forecasts come from that
-    small table. Query anomalies and rules read the records they are about. A caller that
-    runs the rules on a written table instead turns ``rules_on_records`` off.
+    small table. Query anomalies and rules read the records they are about, from
+    ``by_source`` where it has the events of that source. A caller that runs the rules on
+    a written table instead turns ``rules_on_records`` off.
     """
+    parts = by_source or {}
     totals = materialize(daily_totals(events), "daily-totals")
     by_attribution = materialize(attribution_rollup(totals), "spend-by-attribution")
     sums = totals_as_events(totals)
@@ -54,7 +62,7 @@ def build_outputs(
     outputs = {
         "spend_by_source_date": source_date_rollup(totals),
         "spend_by_attribution": by_attribution,
-        QUERY_ANOMALIES: query_duration_anomalies(snowflake_queries(events)),
+        QUERY_ANOMALIES: query_duration_anomalies(snowflake_queries(parts.get(SNOWFLAKE, events))),
         "anomalies_daily_cost_by_attribution": daily_cost_anomalies(by_attribution),
         "forecast_by_source": forecast_by_source,
         "forecast_combined": month_end_forecast(sums, as_of, group_cols=[]),
@@ -62,12 +70,23 @@ def build_outputs(
     }
     aws_row = forecast_by_source.filter(F.col("source") == AWS)
     if not aws_row.isEmpty():  # reads the staged totals only
-        outputs["forecast_aws_reconciled"] = reconcile_with_native_forecast(aws_row, events)
+        outputs["forecast_aws_reconciled"] = reconcile_with_native_forecast(aws_row, parts.get(AWS, events))
     if rules_on_records:
-        outputs[SUGGESTIONS] = run_all_rules(spark, events)
+        outputs[SUGGESTIONS] = run_all_rules(spark, events, by_source=parts)
     return outputs
 
 
+def events_by_source(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """Enriched events of each source that has a directory."""
+    found = {}
+    for source in SOURCES:
+        try:
+            found[source] = enrich_events(read_raw_store(spark, raw_dir, sources=[source]))
+        except FileNotFoundError:
+            log.info("no records of %s", source)
+    return found
+
+
 def run(spark: SparkSession, raw_dir: str, output_dir: str, as_of: date | None = None) -> dict[str, int]:
     """Read, enrich, build and write; row counts of the written tables by name.
 
@@ -76,10 +95,11 @@ def run(spark: SparkSession, raw_dir: str, output_dir: str, as_of: date | None =
     """
     as_of = as_of or date.today()
     events = enrich_events(read_raw_store(spark, raw_dir))
-    outputs = build_outputs(spark, events, as_of, rules_on_records=False)
+    parts = events_by_source(spark, raw_dir)
+    outputs = build_outputs(spark, events, as_of, by_source=parts, rules_on_records=False)
     written = {QUERY_ANOMALIES: write_output(outputs.pop(QUERY_ANOMALIES), output_dir, QUERY_ANOMALIES, as_of)}
     queries = spark.read.parquet(partition_path(output_dir, QUERY_ANOMALIES, as_of))
-    outputs[SUGGESTIONS] = run_all_rules(spark, events, queries=queries)
+    outputs[SUGGESTIONS] = run_all_rules(spark, events, queries=queries, by_source=parts)
     return written | write_outputs(outputs, output_dir, as_of)
 
 

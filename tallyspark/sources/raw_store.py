@@ -18,9 +18,17 @@ from .files import matching_dirs
 _WITH_PARTITION = T.StructType([*STORED_RECORD.fields, T.StructField("ingested_date", T.DateType(), True)])
 
 
-def _table_dirs(spark: SparkSession, raw_dir: str, tables: Iterable[tuple[str, str]] | None) -> list[str]:
+def _table_dirs(
+    spark: SparkSession,
+    raw_dir: str,
+    tables: Iterable[tuple[str, str]] | None,
+    sources: Iterable[str] | None,
+) -> list[str]:
     root = raw_dir.rstrip("/")
-    patterns = [f"{root}/*/*"] if tables is None else [f"{root}/{s}/{t}" for s, t in tables]
+    if tables is not None:
+        patterns = [f"{root}/{s}/{t}" for s, t in tables]
+    else:
+        patterns = [f"{root}/{s}/*" for s in (["*"] if sources is None else sources)]
     return [d for p in patterns for d in matching_dirs(spark, p)]
 
 
@@ -29,6 +37,7 @@ def read_raw_store(
     raw_dir: str,
     *,
     tables: Iterable[tuple[str, str]] | None = None,
+    sources: Iterable[str] | None = None,
     since: date | None = None,
     until: date | None = None,
     ingested_since: date | None = None,
@@ -40,12 +49,12 @@ def read_raw_store(
     column different physical types; Spark widens those while it reads. Text that is no
     date becomes null.
 
-    ``tables`` (pairs of source and table) and ``ingested_since`` choose directories, so
-    the rest is not even listed. ``since``/``until`` bound ``usage_date``, both included;
+    ``tables`` (pairs of source and table), ``sources`` and ``ingested_since`` choose
+    directories, so the files of the rest are not even opened. ``since``/``until`` bound ``usage_date``, both included;
     the store keeps dates as ISO text, whose text order is date order, so the bounds are
     also put on the text, where Parquet statistics can skip row groups.
     """
-    dirs = _table_dirs(spark, raw_dir, tables)
+    dirs = _table_dirs(spark, raw_dir, tables, sources)
     if not dirs:
         raise FileNotFoundError(f"no <source>/<table> directory under {raw_dir}")
     parts = [spark.read.schema(_WITH_PARTITION).parquet(d) for d in dirs]
@@ -98,12 +107,20 @@ def write_records(
     output_dir: str,
     ingested_date: date | None = None,
 ) -> str | None:
-    """Append a batch to its partition; the written directory, or None for an empty batch."""
+    """Append a batch to its partition; the written directory, or None for an empty batch.
+
+    A record of another source than its directory fails the write, so that readers may
+    choose sources by directory.
+    """
     day = ingested_date or date.today()
     counted = Observation()
+    own = F.when(F.col("source") == source, F.col("source")).otherwise(
+        F.raise_error(F.concat(F.lit(f"a record in {source}/{table} has the source "), F.coalesce("source", F.lit("null"))))
+    )
     target = f"{output_dir.rstrip('/')}/{source}/{table}"
     (
         to_stored(records)
+        .withColumn("source", own)
         .withColumn("ingested_date", F.lit(day))
         .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")

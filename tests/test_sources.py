@@ -75,6 +75,15 @@ def test_unknown_columns_and_missing_store(spark, tmp_path):
         rs.read_raw_store(spark, str(tmp_path / "nowhere"))
 
 
+def test_sources_are_chosen_by_directory_and_kept_apart(spark, tmp_path):
+    write(records(spark), tmp_path)
+    write(records(spark, source="snowflake"), tmp_path, "snowflake", "query_history")
+    assert [r.source for r in rs.read_raw_store(spark, str(tmp_path), sources=["snowflake"]).collect()] == ["snowflake"]
+    with pytest.raises(Exception, match="has the source snowflake"):
+        write(records(spark, source="snowflake"), tmp_path)
+    assert rs.read_raw_store(spark, str(tmp_path)).count() == 2
+
+
 def test_files_of_different_physical_types(spark, tmp_path):
     """All-null columns come as null or int32 from other writers; text may be no date."""
 
