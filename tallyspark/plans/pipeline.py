@@ -104,7 +104,7 @@ def run(spark: SparkSession, raw_dir: str, output_dir: str, as_of: date | None =
 
 
 def main() -> None:
-    """``spark-submit`` entry: ``python -m tallyspark.plans.pipeline RAW_DIR OUTPUT_DIR [--as-of DAY]``."""
+    """Command line: RAW_DIR OUTPUT_DIR [--as-of DAY]."""
     parser = argparse.ArgumentParser(description="raw usage records to spend, anomaly, forecast and suggestion tables")
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
