@@ -264,7 +264,7 @@ def forecast_native_units(spark, sf):
 def forecast_reconciled(spark, sf):
     events = v.usage_events(spark, sf)
     aws = fc.month_end_forecast(events, v.COST_AS_OF).filter(F.col("source") == fv.AWS)
-    return _rounded(fc.reconcile_with_native_forecast(aws, events))
+    return _rounded(fc.reconcile_with_aws_native_forecast(aws, events))
 
 
 @query
@@ -613,6 +613,6 @@ def latest_partition(spark, sf):
 def outputs_written(spark, sf):
     """The whole job over a written raw store; rows of every output table."""
     root = new_path(spark, "outputs")
-    written = pipeline.run(spark, v.landed_store(spark, sf), root, v.COST_AS_OF)
+    written = pipeline.run(v.landed_store(spark, sf), root, v.COST_AS_OF, spark)
     tables = {name: out.read_latest(spark, root, name).agg(F.count(F.lit(1)).alias("n")) for name in written}
     return _labelled(tables, "output_table")

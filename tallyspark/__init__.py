@@ -7,7 +7,7 @@ from .operators.forecast import (
     daily_cost_actuals,
     month_end_forecast,
     native_unit_forecast,
-    reconcile_with_native_forecast,
+    reconcile_with_aws_native_forecast,
 )
 from .operators.rollups import spend_by_attribution, spend_by_source_date
 from .operators.rules import run_all_rules
@@ -25,7 +25,7 @@ __all__ = [
     "native_unit_forecast",
     "read_latest",
     "read_raw_store",
-    "reconcile_with_native_forecast",
+    "reconcile_with_aws_native_forecast",
     "run",
     "run_all_rules",
     "spend_by_attribution",

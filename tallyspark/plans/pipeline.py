@@ -16,7 +16,7 @@ from ..operators.enrich import enrich_events
 from ..operators.forecast import (
     month_end_forecast,
     native_unit_forecast,
-    reconcile_with_native_forecast,
+    reconcile_with_aws_native_forecast,
 )
 from ..operators.rollups import attribution_rollup, daily_totals, source_date_rollup
 from ..operators.rules import run_all_rules
@@ -70,7 +70,7 @@ def build_outputs(
     }
     aws_row = forecast_by_source.filter(F.col("source") == AWS)
     if not aws_row.isEmpty():  # reads the staged totals only
-        outputs["forecast_aws_reconciled"] = reconcile_with_native_forecast(aws_row, parts.get(AWS, events))
+        outputs["forecast_aws_reconciled"] = reconcile_with_aws_native_forecast(aws_row, parts.get(AWS, events))
     if rules_on_records:
         outputs[SUGGESTIONS] = run_all_rules(spark, events, by_source=parts)
     return outputs
@@ -87,12 +87,16 @@ def events_by_source(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return found
 
 
-def run(spark: SparkSession, raw_dir: str, output_dir: str, as_of: date | None = None) -> dict[str, int]:
+def run(
+    raw_dir: str, output_dir: str, as_of: date | None = None, spark: SparkSession | None = None
+) -> dict[str, int]:
     """Read, enrich, build and write; row counts of the written tables by name.
 
+    Works in the given session, else in the one that is running or can be started.
     The query anomaly table is written first. It holds every query row with its metadata
     as columns, so the rules on query text read it back in place of the raw JSON.
     """
+    spark = spark or SparkSession.builder.getOrCreate()
     as_of = as_of or date.today()
     events = enrich_events(read_raw_store(spark, raw_dir))
     parts = events_by_source(spark, raw_dir)
@@ -113,7 +117,7 @@ def main() -> None:
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("usage-cost-analytics").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        for name, rows in run(spark, args.raw_dir, args.output_dir, args.as_of).items():
+        for name, rows in run(args.raw_dir, args.output_dir, args.as_of, spark).items():
             log.info("%s: %d rows", name, rows)
     finally:
         spark.stop()

@@ -42,7 +42,7 @@ def test_collect_then_run(spark, landing, tmp_path):
     raw, processed = str(tmp_path / "raw"), str(tmp_path / "processed")
     written = collect.collect(spark, str(landing), raw, NOW)
     assert {k[1] for k, v in written.items() if v is None} == {"service_dimension_values", "cluster_events"}
-    counts = pipeline.run(spark, raw, processed, date(2026, 8, 12))
+    counts = pipeline.run(raw, processed, date(2026, 8, 12), spark)
     assert counts == {
         "anomalies_snowflake_query_duration": 14,
         "spend_by_source_date": 16,
