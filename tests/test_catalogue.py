@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue.oracle import ORACLE
+from catalogue.queries import QUERIES
 from check import TABLES, rows_of
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,13 +24,13 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, engine, name):
-    frame = queries()[name](spark, SF_DIR)
-    result = engine.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    result = engine.execute(ORACLE[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(frame.columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, result.fetchall())
