@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, neardup, packing, simhash, substrings, topk
+from . import encoding, neardup, packing, quality, simhash, substrings, topk, toxicity
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -43,6 +47,10 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -50,8 +58,10 @@ QUERIES = {
         op3_exact_top_k,
         op4_simhash_near_dedup,
         op5_substring_dedup,
+        op7_toxicity,
         op8_bpe_encoding,
         op9_embedding_near_dedup,
+        op10_quality_classifier,
     )
 }
 

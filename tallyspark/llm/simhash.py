@@ -155,3 +155,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return marked.join(materialize(groups, "groups"), "fingerprint").select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their component: that of its least id.
+
+    Of rows that repeat an id one stays. Rows with a null id cannot be named, and stay.
+    """
+    groups = near_duplicates(docs, id_col=id_col, text_col=text_col)
+    least = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("__times"))
+    chosen = materialize(
+        least.filter("doc_id = component_id").select(F.col("doc_id").alias("__chosen"), "__times"), "representatives"
+    )
+    kept = docs.join(chosen, docs[id_col].cast("long") == chosen["__chosen"])
+    once = kept.filter("__times = 1").select(docs.columns)
+    repeated = kept.filter("__times > 1").select(docs.columns).dropDuplicates([id_col])
+    return once.unionByName(repeated).unionByName(docs.filter(F.col(id_col).isNull()))

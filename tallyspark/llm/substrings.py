@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -209,23 +210,38 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
+def _with_stripped(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a column ``__stripped`` of (n_words, n_removed, kept)."""
+
+    @F.pandas_udf("n_words long, n_removed long, kept string")
+    def strip(text: pd.Series, windows: pd.Series) -> pd.DataFrame:
+        rows = [
+            stripped(t, None if w is None else np.sort(np.asarray(w, np.int64)), window) for t, w in zip(text, windows)
+        ]
+        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    found = repeated_windows(texts, window).select(F.col("doc_id").alias("__id"), F.col("windows").alias("__windows"))
+    joined = docs.join(found, docs[id_col].cast("long") == found["__id"], "left")
+    return joined.select(*[docs[c] for c in docs.columns], strip(docs[text_col].cast("string"), "__windows").alias("__stripped"))
+
+
 def without_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each text without the words of repeated windows.
 
     ``kept`` has the other words, joined by single spaces. Windows are judged on the input.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+    return _with_stripped(texts, window, "doc_id", "text").select("doc_id", "__stripped.*")
 
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts, found in rows_of(batches, "doc_id", "text", "windows"):
-            out = []
-            for text, windows in zip(texts, found):
-                out.append(stripped(text, np.sort(np.array(windows, np.int64)) if windows else None, window))
-            yield as_table(schema, [keys, *zip(*out)])
 
-    return texts.join(repeated_windows(texts, window), "doc_id", "left").mapInArrow(
-        strip, "doc_id long, n_words long, n_removed long, kept string"
+def strip_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with repeated passages taken out of the texts; other texts stay as they are."""
+    changed = F.col("__stripped.n_removed") > 0
+    return (
+        _with_stripped(docs, window, id_col, text_col)
+        .withColumn(text_col, F.when(changed, F.col("__stripped.kept")).otherwise(F.col(text_col)))
+        .select(docs.columns)
     )
 
 
