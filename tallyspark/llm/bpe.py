@@ -236,3 +236,17 @@ class PieceCache:
         self.known.update((p, make(ids)) for p, ids in self.encoder.encode(new).items())
         for pieces in batch:
             yield list(map(self.known.__getitem__, pieces))
+
+    def values_of_words(self, texts: Iterable[list[bytes]]) -> Iterator[list]:
+        """The same for texts given as words, with one value for each word."""
+        join = self.make
+        batch = list(texts)
+        found = set().union(*batch)
+        new = found.difference(self.known)
+        if len(self.known) + len(new) > self.limit:
+            self.known, new = {}, found
+        pieces = {word: self.encoder.pieces(word.decode()) for word in new}
+        ids = self.encoder.encode(set().union(*pieces.values()))
+        self.known.update((w, join(tuple(i for p in own for i in ids[p]))) for w, own in pieces.items())
+        for words in batch:
+            yield list(map(self.known.__getitem__, words))

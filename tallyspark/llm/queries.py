@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, neardup, packing, quality, simhash, substrings, topk, toxicity
+from . import encoding, language_model, neardup, packing, quality, simhash, substrings, topk, toxicity
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -35,6 +35,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ QUERIES = {
         op3_exact_top_k,
         op4_simhash_near_dedup,
         op5_substring_dedup,
+        op6_language_model,
         op7_toxicity,
         op8_bpe_encoding,
         op9_embedding_near_dedup,

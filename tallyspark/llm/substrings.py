@@ -7,7 +7,8 @@ repeated ones are extended to twice that length, up to ``window``, and counted a
 short windows in a long one, the one with the least hash stands for it, the same in every
 document, so a fraction of the short windows is counted.
 
-Windows are 64-bit hashes of their words, and at the last level two of them, 128 bits.
+Windows are 64-bit hashes of their words, and 96 bits at the last level. Copies of a whole
+text are found by its digest; they need no windows.
 
 Nulls: a null text is empty. A row with a null id loses nothing and takes nothing away.
 Rows with one id are one document's: none removes words of another. Empty tables give empty
@@ -148,8 +149,11 @@ def _anchors(docs: DataFrame, window: int, base: int) -> DataFrame:
 
 
 def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
-    """(h, check, doc_id): the windows whose standing short window is in ``anchors``."""
-    schema = pa.schema([("h", pa.int64()), ("check", pa.int64()), ("doc_id", pa.int64())])
+    """(h, check, doc_id, asks): the windows whose standing short window is in ``anchors``.
+
+    A window ``asks`` if its short window is in ``later`` too: another document had that first.
+    """
+    schema = pa.schema([("h", pa.int64()), ("check", pa.int32()), ("doc_id", pa.int64()), ("asks", pa.bool_())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,25 +161,25 @@ def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
                 part = batch.slice(start, 256)
                 keys, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
                 ids = np.array(keys, np.int64)
-                wanted = [np.sort(np.asarray(a.values)) for a in part.column("anchors")]
+                wanted, later = ([np.sort(np.asarray(a.values)) for a in part.column(c)] for c in ("anchors", "later"))
                 for rows, passage in passages(keys, texts, window - 1):
                     standing = _signed(passage.standing(window, base))
-                    keep = passage.inside(window)
+                    keep, asks = passage.inside(window), np.zeros(len(standing), bool)
                     firsts = np.r_[0, np.cumsum(passage.lengths)]
                     for i, row in enumerate(rows):
                         own = slice(firsts[i], min(firsts[i + 1], len(keep)))
                         keep[own] &= _among(standing[own], wanted[row])
+                        asks[own] = _among(standing[own], later[row])
                     at = np.flatnonzero(keep)
-                    yield as_table(
-                        schema,
-                        [
-                            _signed(passage.hashes(window)[at]),
-                            _signed(passage.hashes(window, 1)[at]),
-                            ids[np.array(rows)[passage.owner[at]]],
-                        ],
-                    )
+                    columns = [
+                        _signed(passage.hashes(window)[at]),
+                        passage.hashes(window, 1)[at].astype(np.uint32).view(np.int32),
+                        ids[np.array(rows)[passage.owner[at]]],
+                        asks[at],
+                    ]
+                    yield as_table(schema, columns)
 
-    return docs.mapInArrow(find, "h long, check long, doc_id long")
+    return docs.mapInArrow(find, "h long, check int, doc_id long, asks boolean")
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -184,10 +188,25 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
 
 
+def _whole_copies(known: DataFrame) -> DataFrame:
+    """(doc_id): documents whose whole text a document with a smaller id has."""
+    digests = materialize(
+        known.groupBy("doc_id")
+        .agg(F.count("*").alias("rows"), F.min(F.md5("text")).alias("digest"))
+        .filter("rows = 1")
+        .drop("rows"),
+        "digests",
+    )
+    firsts = digests.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    firsts = materialize(firsts.filter("rows > 1").drop("rows"), "first-copies")
+    return materialize(digests.join(firsts, "digest").filter("first < doc_id").select("doc_id"), "copies")
+
+
 def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, windows): hashes of the windows that a document with a smaller id has too.
 
-    ``texts`` has doc_id and text.
+    ``texts`` has doc_id and text. For a copy of a whole text all windows are repeated, and
+    ``windows`` is empty.
     """
     base = window // 2 + 1
     known = texts.filter("doc_id is not null and text is not null")
@@ -197,17 +216,25 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
         ends = found.groupBy(*key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         return ends.filter("first < last").drop("last")
 
+    copies = _whole_copies(known)
     anchors = _anchors(known, window, base)
-    short = materialize(shared(anchors, "h").select("h"), "short-windows")
-    candidates = anchors.join(short, "h").groupBy("doc_id").agg(F.collect_set("h").alias("anchors"))
+    short = materialize(shared(anchors, "h"), "short-windows")
+    candidates = (
+        anchors.join(short, "h")
+        .groupBy("doc_id")
+        .agg(F.collect_set("h").alias("anchors"), F.collect_set(F.when(F.col("first") < F.col("doc_id"), F.col("h"))).alias("later"))
+        .join(copies, "doc_id", "left_anti")
+    )
     windows = materialize(_around(known.join(candidates, "doc_id"), window, base), "windows")
     long = materialize(shared(windows, "h", "check"), "long-windows")
-    return (
-        windows.join(long, ["h", "check"])
+    found = (
+        windows.filter("asks")
+        .join(long, ["h", "check"])
         .filter("first < doc_id")
         .groupBy("doc_id")
         .agg(F.collect_set("h").alias("windows"))
     )
+    return found.unionByName(copies.withColumn("windows", F.array().cast("array<long>")))
 
 
 def _with_stripped(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -246,10 +273,19 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW, id_col: str = "doc_i
 
 
 def stripped(text: str | None, windows: np.ndarray | None, window: int) -> tuple[int, int, str]:
-    """(words, removed words, kept text) of one document, given the hashes of its repeated windows."""
+    """(words, removed words, kept text) of one document, given the hashes of its repeated windows.
+
+    None stands for no window, and an empty array for all.
+    """
     total = removed = 0
     kept: list[bytes] = []
+    if windows is not None and not len(windows):
+        total = sum(map(len, segments_of(text, 0)))
+        if total >= window:
+            return total, total, ""
+        windows = None
     if windows is None:
+        total = 0
         for words in segments_of(text, 0):
             total += len(words)
             kept += [b" ".join(words)] if words else []
