@@ -38,6 +38,11 @@ def finite(vector: Column) -> Column:
     return F.coalesce(~F.exists(vector, odd), F.lit(False))
 
 
+def _floor(x: Column) -> Column:
+    """The floor as a double; from 2^53 on doubles are whole numbers, of which some exceed a long."""
+    return F.when(F.abs(x) < float(_EXACT), F.floor(x).cast("double")).otherwise(x)
+
+
 def _segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     """Features whose products bound the products of the vectors from above."""
     parts = []
@@ -121,7 +126,7 @@ def nearest(
     Components are scaled and rounded down to whole numbers. Queries are the rows whose id
     is divisible by ``every``; candidates are all rows.
     """
-    values = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    values = F.transform(F.col(vector_col), lambda x: _floor(x.cast("double") * scale))
     known = (
         vectors.filter(F.col(id_col).isNotNull() & finite(F.col(vector_col)))
         .select(
