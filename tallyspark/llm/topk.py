@@ -11,11 +11,12 @@ of each group meet in a window over the query.
 
 Only vectors of equal length are compared. Rows with a null id, a null vector, or a null or
 non-finite component take no part; a row that is repeated as a whole counts once. Scores
-beyond a long are given as the nearest long. Columns other than id and vector are ignored.
+beyond a long are ranked and given as the nearest long. Columns other than id and vector are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,13 +77,13 @@ def search_block(
     """
     length = max(1, rows.shape[1])
     largest = max(np.abs(queries).max(initial=0), np.abs(rows).max(initial=0))
-    if largest * largest * length >= _EXACT:  # beyond exact doubles: Python's integers
+    if largest >= math.sqrt(_EXACT / length):  # beyond exact doubles: Python's integers
         q, r = ([[int(v) for v in row] for row in x.tolist()] for x in (queries, rows))
         for i, query_id in enumerate(query_ids.tolist()):
             others = np.flatnonzero(row_ids != query_id)
-            found = [(-sum(map(int.__mul__, q[i], r[j])), int(row_ids[j])) for j in others]
-            top = sorted(found)[:k]
-            yield query_id, [v for _, v in top], [max(-(1 << 63), min((1 << 63) - 1, -s)) for s, _ in top]
+            exact = ((sum(map(int.__mul__, q[i], r[j])), int(row_ids[j])) for j in others)
+            top = sorted((-max(-(1 << 63), min((1 << 63) - 1, s)), v) for s, v in exact)[:k]
+            yield query_id, [v for _, v in top], [-s for s, _ in top]
         return
     order = np.lexsort((row_ids, -np.square(rows).sum(axis=1)))  # long vectors first: they raise the bar early
     row_ids, rows = row_ids[order], rows[order]
