@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, language_model, neardup, packing, quality, simhash, substrings, topk, toxicity
+from . import encoding, language_model, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_token_counts,
         op3_exact_top_k,
         op4_simhash_near_dedup,
         op5_substring_dedup,
