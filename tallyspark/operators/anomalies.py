@@ -18,21 +18,42 @@ from ..fixed_values import (
 from .groups import BROADCAST_BYTES, GROUP_ROWS, HOT_PARTS, attach_group_stats
 
 SCORE_COLUMNS = ("group_n_other", "baseline_mean", "baseline_stddev", "z_score", "status", "anomaly")
-_STATS = ("__n", "__total", "__squares")
+# of a decimal value column, and of any other
+_EXACT_STATS = ("__n", "__total", "__squares")
+_FLOAT_STATS = ("__n", "__mean", "__variance", "__low", "__high", "__marks")
+_MARK_BITS = (1 << 28) - 1
 
 
-def _group_measures(value: Column) -> list[Column]:
-    """Count, sum and sum of squares of the values that are there.
+def _is_decimal(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.DecimalType)
 
-    They describe a group completely for this purpose and combine before the shuffle. For
-    a decimal column of up to 18 digits they are exact, so independent of the order of rows.
+
+def _mark(number: Column) -> Column:
+    """A hash per value, of few enough bits that a long holds the sum over 2^35 rows."""
+    return F.xxhash64(number).bitwiseAND(F.lit(_MARK_BITS))
+
+
+def _number(value: Column) -> Column:
+    return value.cast("double") + F.lit(0.0)  # one zero, not two
+
+
+def _group_measures(value: Column, exact: bool) -> dict[str, Column]:
+    """Measures that describe a group for this purpose, and combine before the shuffle.
+
+    For a decimal column of up to 18 digits, count, sum and sum of squares are exact. Doubles
+    would lose a small spread in such sums, so they have central moments; the extremes and a
+    sum of hashes tell exactly whether the others of an extreme value are all equal.
     """
-    return [F.count(value), F.sum(value), F.sum(value * value)]
+    if exact:
+        return dict(zip(_EXACT_STATS, [F.count(value), F.sum(value), F.sum(value * value)]))
+    number = _number(value)
+    marks = F.sum(F.when(value.isNotNull(), _mark(number)))
+    return dict(
+        zip(_FLOAT_STATS, [F.count(number), F.avg(number), F.var_pop(number), F.min(number), F.max(number), marks])
+    )
 
 
-def _scored(df: DataFrame, value: Column, z_threshold: float, min_group_size: int) -> DataFrame:
-    """Score columns from the group measures next to each row. One projection per level."""
-    columns = [c for c in df.columns if c not in _STATS]
+def _exact_baseline(df: DataFrame, value: Column, columns: list[str]) -> DataFrame:
     others = F.when(value.isNotNull(), F.col("__n") - 1)
     mean = (F.col("__total") - value).cast("double") / others
     squares, kind = F.col("__squares"), df.schema["__squares"].dataType
@@ -47,15 +68,45 @@ def _scored(df: DataFrame, value: Column, z_threshold: float, min_group_size: in
         F.when(has_others, mean_square).alias("__mean_square"),
     )
     mean = F.col("baseline_mean")
-    spread = based.select(
+    stddev = F.when(mean.isNotNull(), F.sqrt(F.greatest(F.col("__mean_square") - mean * mean, F.lit(0.0))))
+    return based.select(*columns, "group_n_other", "baseline_mean", stddev.alias("baseline_stddev"))
+
+
+def _float_baseline(df: DataFrame, value: Column, columns: list[str]) -> DataFrame:
+    """Moments of the others from those of the group.
+
+    Others that are all equal have their own value as mean and no spread, without rounding.
+    For a value whose distance swamps the spread of the others, the spread is the least
+    that the group's variance can still tell from none.
+    """
+    number, n = _number(value), F.col("__n")
+    others = F.when(value.isNotNull(), n - 1)
+    away, total = number - F.col("__mean"), F.col("__variance") * n
+    left = total - away * away * n / others
+    # an extreme value's others can only all be equal at the other extreme
+    level = F.when(number == F.col("__high"), F.col("__low")).when(number == F.col("__low"), F.col("__high"))
+    same = (F.col("__marks") - _mark(number) == others * _mark(level)) & (left <= total * 1e-3)
+    based = df.select(
+        *columns,
+        others.alias("group_n_other"),
+        F.when(others > 0, F.coalesce(same, F.lit(False))).alias("__same"),
+        level.alias("__level"),
+        (F.col("__mean") - away / others).alias("__others_mean"),
+        F.sqrt(F.greatest(left, total * 1e-16) / others).alias("__others_stddev"),
+    )
+    return based.select(
         *columns,
         "group_n_other",
-        "baseline_mean",
-        F.when(mean.isNotNull(), F.sqrt(F.greatest(F.col("__mean_square") - mean * mean, F.lit(0.0)))).alias(
-            "baseline_stddev"
-        ),
+        F.when(F.col("__same"), F.col("__level")).when(~F.col("__same"), F.col("__others_mean")).alias("baseline_mean"),
+        F.when(F.col("__same"), F.lit(0.0)).when(~F.col("__same"), F.col("__others_stddev")).alias("baseline_stddev"),
     )
-    stddev = F.col("baseline_stddev")
+
+
+def _scored(df: DataFrame, value: Column, exact: bool, z_threshold: float, min_group_size: int) -> DataFrame:
+    """Score columns from the group measures next to each row. One projection per level."""
+    columns = [c for c in df.columns if c not in _EXACT_STATS + _FLOAT_STATS]
+    spread = (_exact_baseline if exact else _float_baseline)(df, value, columns)
+    mean, stddev = F.col("baseline_mean"), F.col("baseline_stddev")
     number = value.cast("double")
     z = F.when(
         F.col("group_n_other") >= min_group_size,
@@ -99,19 +150,17 @@ def detect_anomalies(
     inputs and as an independent check. ``row_id_col`` is accepted for compatibility;
     every column is kept anyway.
     """
-    keys, value = list(group_cols), F.col(value_col)
-    measures = _group_measures(value)
+    keys, value, exact = list(group_cols), F.col(value_col), _is_decimal(df, value_col)
     if form == "window":
         group = Window.partitionBy(*keys)
-        with_stats = df.select("*", *[m.over(group).alias(n) for m, n in zip(measures, _STATS)])
+        with_stats = df.select("*", *[m.over(group).alias(n) for n, m in _group_measures(value, exact).items()])
     elif form == "aggregate":
-        stats = df.groupBy(*keys).agg(
-            *[m.alias(n) for m, n in zip(measures, _STATS)], F.count(F.lit(1)).alias(GROUP_ROWS)
-        )
+        measures = [m.alias(n) for n, m in _group_measures(value, exact).items()]
+        stats = df.groupBy(*keys).agg(*measures, F.count(F.lit(1)).alias(GROUP_ROWS))
         with_stats = attach_group_stats(df, stats, keys, broadcast_bytes=broadcast_bytes, hot_parts=hot_parts)
     else:
         raise ValueError("form must be 'aggregate' or 'window'")
-    return _scored(with_stats, value, z_threshold, min_group_size)
+    return _scored(with_stats, value, exact, z_threshold, min_group_size)
 
 
 def snowflake_queries(events: DataFrame) -> DataFrame:

@@ -107,3 +107,29 @@ def test_reports_of_scores(spark):
     assert an.headline_anomaly(scored).first().val == 1000.0
     assert [r.val for r in an.top_by_score(scored, 2).collect()] == [1000.0, 102.0]
     assert {r.status: r.n for r in an.status_counts(scored).collect()} == {"anomaly": 1, "normal": 6}
+
+
+@pytest.mark.parametrize("form", ["aggregate", "window"])
+@pytest.mark.parametrize("level", [0.1, 123.45, 12345.67, 7654321.09, 5e-6])
+def test_others_without_spread_in_doubles(spark, form, level):
+    """Thousands of equal doubles and one slightly above: an infinite score, and only for that one."""
+    above = level * 1.001 if level < 1e-3 else level * 1.0000001
+    df = spark.createDataFrame([("g", level)] * 4000 + [("g", above)], "grp string, val double").repartition(64)
+    rows = scores(df, form=form)
+    top = [r for r in rows if r.val == above]
+    assert len(top) == 1 and math.isinf(top[0].z_score) and top[0].anomaly
+    assert top[0].baseline_mean == level and top[0].baseline_stddev == 0.0
+    assert all(r.status == "normal" for r in rows if r.val == level)
+
+
+def test_scores_in_doubles_against_direct_sums(spark):
+    rng = random.Random(5)
+    values = [1e6 + rng.gauss(0, 1e-2) for _ in range(300)] + [1e6 + 1.0]
+    got = {r.val: r for r in scores(frame(spark, {"g": values}).repartition(7))}
+    for i in (0, 17, 300):
+        others = [v - 1e6 for j, v in enumerate(values) if j != i]
+        mean = math.fsum(others) / len(others)
+        stddev = math.sqrt(math.fsum((v - mean) ** 2 for v in others) / len(others))
+        assert got[values[i]].z_score == pytest.approx((values[i] - 1e6 - mean) / stddev, rel=1e-5)
+    pairs = scores(frame(spark, {"g": [1.0, 1.0, 3.0, 3.0, 9.0]}), min_group_size=3)
+    assert [r.baseline_stddev for r in pairs if r.val == 9.0] == [pytest.approx(1.0)]
