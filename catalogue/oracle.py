@@ -20,10 +20,11 @@ VIEWS = {
         SELECT CAST(event_id AS VARCHAR) AS query_id, event_id, 'WH_' || upper(event_type) AS warehouse, ts,
                CAST(ts AS DATE) AS usage_date, CAST(value AS DECIMAL(18,4)) AS ms, {_K} AS k,
                CASE WHEN {_K} % 4 = 2 THEN 'SHOW' ELSE 'SELECT' END AS query_type,
-               CASE {_K} % 4
-                    WHEN 0 THEN 'SELECT * FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K}
-                    WHEN 1 THEN 'SELECT a FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K} || ' where x = 1'
-                    WHEN 2 THEN 'SHOW TABLES'
+               CASE WHEN {_K} % 16 = 0 THEN 'SELECT ' || repeat('some_column, ', 50) || 'a FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K}
+                    WHEN {_K} % 16 = 8 THEN 'SELECT ' || repeat('some_column, ', 50) || 'a FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K} || ' WHERE x = ' || (event_id % 3)
+                    WHEN {_K} % 4 = 0 THEN 'SELECT * FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K}
+                    WHEN {_K} % 4 = 1 THEN 'SELECT a FROM SNOWFLAKE_SAMPLE_DATA.T' || {_K} || ' where x = 1'
+                    WHEN {_K} % 4 = 2 THEN 'SHOW TABLES'
                     ELSE 'SELECT CURRENT_USER() FROM dual' END AS query_text,
                CASE WHEN event_id % 10 = 0 THEN 'FAIL' ELSE 'SUCCESS' END AS execution_status,
                CASE WHEN {_K} % 5 <> 0 THEN CAST((event_id % 1000) * 1024 AS DOUBLE) END AS bytes_scanned
@@ -61,7 +62,7 @@ VIEWS = {
               WHERE CAST(l_shipdate AS DATE) BETWEEN {MONTH_START} AND {COST_DAY}) CROSS JOIN (VALUES (1), (2)) AS ages(age)
         UNION ALL
         SELECT 'snowflake', 'query', query_id, warehouse, usage_date, ts, ts + to_seconds(event_id % 60), warehouse, NULL, NULL, ms, 'milliseconds',
-               query_type, execution_status, query_text, NULL, NULL, NULL, NULL, bytes_scanned, '{NOW}'
+               query_type, execution_status, left(query_text, 500), NULL, NULL, NULL, NULL, bytes_scanned, '{NOW}'
         FROM query_rows
         UNION ALL
         SELECT 'snowflake', 'warehouse_metering_hour', warehouse || '::' || strftime(started, '%Y-%m-%dT%H:%M:%S') || '+00:00', warehouse,
@@ -333,7 +334,7 @@ ORACLE: dict[str, str] = {
     ),
     "notebook_loo_condensed": sql(
         """SELECT query_id AS resource_id, warehouse AS account_identifier, CAST(usage_date AS VARCHAR) AS usage_date, CAST(ms AS DOUBLE) AS usage_quantity, z_score,
-           query_text AS query_text_preview FROM scored WHERE group_n_other >= 5 AND baseline_stddev > 1e-12 AND z_score > 3""",
+           left(query_text, 500) AS query_text_preview FROM scored WHERE group_n_other >= 5 AND baseline_stddev > 1e-12 AND z_score > 3""",
         "query_rows",
         **_QUERY_SCORES,
     ),
@@ -356,7 +357,7 @@ ORACLE: dict[str, str] = {
     "cumulative_cost_ties": sql(
         """SELECT source, CAST(usage_date AS VARCHAR) AS usage_date, CAST(cost_usd_day AS DOUBLE) AS cost_usd_day,
            CAST(SUM(cost_usd_day) OVER (ORDER BY usage_date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative_cost_usd
-           FROM daily_actuals WHERE year(usage_date) = 1998""",
+           FROM daily_actuals""",
         "daily_actuals",
     ),
     "forecast_by_source": sql(f"SELECT source, {_FITTED} FROM fitted", "daily_actuals", **_forecast("daily_actuals", "source", COST_DAY)),
@@ -402,14 +403,14 @@ ORACLE: dict[str, str] = {
     ),
     # --- rules
     "rule_repeated_query": sql(
-        f"""SELECT warehouse AS account_identifier, query_text AS query_text_preview, COUNT(*) AS run_count, CAST(SUM(ms) AS DOUBLE) AS total_ms,
+        f"""SELECT warehouse AS account_identifier, left(query_text, 500) AS query_text_preview, COUNT(*) AS run_count, CAST(SUM(ms) AS DOUBLE) AS total_ms,
             CAST((CAST(SUM(ms) * 10000 AS HUGEINT) * 20000 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 1e8 AS avg_ms, CAST((200 * (COUNT(*) - 1) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) AS redundant_pct,
-            {_IDS.format(sep=",")} AS sample_ids FROM query_rows WHERE {_WORKLOAD} GROUP BY 1, 2 HAVING COUNT(*) >= 3""",
+            {_IDS.format(sep=",")} AS sample_ids FROM query_rows WHERE {_WORKLOAD} GROUP BY warehouse, query_text HAVING COUNT(*) >= 3""",
         "query_rows",
     ),
     "rule_unfiltered_scan": sql(
-        f"""SELECT warehouse AS account_identifier, query_text AS query_text_preview, COUNT(*) AS run_count, SUM(coalesce(bytes_scanned, 0e0)) AS bytes_scanned_total,
-            {_IDS.format(sep=",")} AS sample_ids FROM query_rows WHERE {_UNFILTERED} GROUP BY 1, 2""",
+        f"""SELECT warehouse AS account_identifier, left(query_text, 500) AS query_text_preview, COUNT(*) AS run_count, SUM(coalesce(bytes_scanned, 0e0)) AS bytes_scanned_total,
+            {_IDS.format(sep=",")} AS sample_ids FROM query_rows WHERE {_UNFILTERED} GROUP BY warehouse, query_text""",
         "query_rows",
     ),
     "rule_flat_cost": sql(f"SELECT service, days_observed, cost_avg, cost_total FROM ({_FLAT_GROUPS})", "flat"),
@@ -430,8 +431,8 @@ ORACLE: dict[str, str] = {
         **_SUGGESTIONS,
     ),
     "notebook_repeated_texts": sql(
-        """SELECT warehouse AS account_identifier, query_text AS query_text_preview, COUNT(*) AS run_count, CAST(SUM(ms) AS DOUBLE) AS total_ms
-           FROM query_rows WHERE query_type = 'SELECT' AND contains(query_text, 'FROM') GROUP BY 1, 2 HAVING COUNT(*) >= 3""",
+        """SELECT warehouse AS account_identifier, left(query_text, 500) AS query_text_preview, COUNT(*) AS run_count, CAST(SUM(ms) AS DOUBLE) AS total_ms
+           FROM query_rows WHERE query_type = 'SELECT' AND contains(query_text, 'FROM') GROUP BY warehouse, query_text HAVING COUNT(*) >= 3""",
         "query_rows",
     ),
     # --- normalizers
@@ -462,7 +463,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT 'snowflake' AS source, 'query' AS resource_type, query_id AS resource_id, warehouse AS account_identifier, CAST(usage_date AS VARCHAR) AS usage_date,
             {_stamp('ts')} AS period_start, {_stamp('ts + to_seconds(event_id % 60)')} AS period_end, warehouse AS service, CAST(NULL AS DOUBLE) AS cost_usd,
             CAST(NULL AS VARCHAR) AS cost_basis, CAST(ms AS DOUBLE) AS usage_quantity, 'milliseconds' AS usage_unit, query_type, execution_status, 'LAKE' AS database_name,
-            'PUBLIC' AS schema_name, 'X-Small' AS warehouse_size, query_text AS query_text_preview, bytes_scanned, CAST(event_id % 100 AS DOUBLE) AS rows_produced FROM query_rows""",
+            'PUBLIC' AS schema_name, 'X-Small' AS warehouse_size, left(query_text, 500) AS query_text_preview, bytes_scanned, CAST(event_id % 100 AS DOUBLE) AS rows_produced FROM query_rows""",
         "query_rows",
     ),
     "recent_query_history": sql(
@@ -470,6 +471,21 @@ ORACLE: dict[str, str] = {
             WHERE ts >= TIMESTAMP '2024-01-24 12:00:00' ORDER BY ts DESC, query_id LIMIT 1000""",
         "query_rows",
     ),
+    "recent_query_history_all": sql(
+        f"""SELECT query_id AS "QUERY_ID", warehouse AS "WAREHOUSE_NAME", {_stamp('ts')} AS "START_TIME" FROM query_rows
+            WHERE ts >= TIMESTAMP '2024-01-24 12:00:00'""",
+        "query_rows",
+    ),
+    "anomaly_flat_double": """
+        WITH levels AS (SELECT * FROM (VALUES (0, 0.1e0), (1, 123.45e0), (2, 12345.67e0), (3, 7654321.09e0)) AS t(grp, level)),
+        counted AS (
+            SELECT l.grp, CASE WHEN l.grp % 2 = 1 AND event_id < 4 THEN level * 1.0000001e0 ELSE level END AS val, COUNT(*) AS n
+            FROM events JOIN levels AS l ON event_id % 4 = l.grp GROUP BY 1, 2),
+        grouped AS (SELECT *, SUM(n) OVER (PARTITION BY grp) AS total, COUNT(*) OVER (PARTITION BY grp) AS kinds,
+                    MIN(val) OVER (PARTITION BY grp) AS low FROM counted),
+        judged AS (SELECT *, n = 1 AND kinds = 2 AND val > low AS above FROM grouped)
+        SELECT CAST(grp AS INT) AS grp, val, CASE WHEN total <= 5 THEN 'insufficient_baseline' WHEN above THEN 'anomaly' ELSE 'normal' END AS status,
+               above AS infinite, n FROM judged""",
     "normalize_metering": sql(
         f"""SELECT 'snowflake' AS source, 'warehouse_metering_hour' AS resource_type, warehouse || '::' || strftime(started, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS resource_id,
             warehouse AS account_identifier, CAST(CAST(started AS DATE) AS VARCHAR) AS usage_date, {_stamp('started')} AS period_start, {_stamp('started + to_hours(1)')} AS period_end,

@@ -130,6 +130,15 @@ def anomaly_query_duration(spark, sf):
     return _query_scores(spark, sf).select("resource_id", "account_identifier", "usage_date", "usage_quantity", *SCORES)
 
 
+@query
+def anomaly_flat_double(spark, sf):
+    """Equal doubles with one value barely above them in some groups, counted by outcome."""
+    scored = an.detect_anomalies(v.flat_doubles(spark, sf), group_cols=["grp"], value_col="val")
+    return scored.groupBy("grp", "val", "status", (F.col("z_score") == float("inf")).alias("infinite")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def anomaly_query_duration_window(spark, sf):
     scored = _query_scores(spark, sf, form="window")
@@ -232,9 +241,7 @@ def cumulative_cost(spark, sf):
 @query
 def cumulative_cost_ties(spark, sf):
     """All sources in one group: rows of one date share one running total."""
-    return fc.cumulative_cost(
-        fc.daily_cost_actuals(v.usage_events(spark, sf)).filter(F.year("usage_date") == 1998), []
-    )
+    return fc.cumulative_cost(fc.daily_cost_actuals(v.usage_events(spark, sf)), [])
 
 
 @query
@@ -381,9 +388,14 @@ def normalize_query_history(spark, sf):
 @query
 def recent_query_history(spark, sf):
     """The source-side window: newest rows of the last days, limited."""
-    return nz.recent_rows(v.query_history_rows(spark, sf), v.NOW, tie_break="QUERY_ID").select(
-        "QUERY_ID", "WAREHOUSE_NAME", "START_TIME"
-    )
+    recent = nz.recent_rows(v.query_history_rows(spark, sf), v.NOW, row_limit=fv.SOURCE_ROW_LIMIT, tie_break="QUERY_ID")
+    return recent.select("QUERY_ID", "WAREHOUSE_NAME", "START_TIME")
+
+
+@query
+def recent_query_history_all(spark, sf):
+    """The same window with all its rows."""
+    return nz.recent_rows(v.query_history_rows(spark, sf), v.NOW).select("QUERY_ID", "WAREHOUSE_NAME", "START_TIME")
 
 
 @query

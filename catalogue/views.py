@@ -179,8 +179,12 @@ def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as a query-history dump has them."""
     events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
+    # long texts with one beginning, which name their table, and some a filter, after the preview
+    long = F.concat(F.lit("SELECT "), F.repeat(F.lit("some_column, "), 50), F.lit("a FROM SNOWFLAKE_SAMPLE_DATA.T"), k)
     text = (
-        F.when(k % 4 == 0, F.concat(F.lit("SELECT * FROM SNOWFLAKE_SAMPLE_DATA.T"), k))
+        F.when(k % 16 == 0, long)
+        .when(k % 16 == 8, F.concat(long, F.lit(" WHERE x = "), F.col("event_id") % 3))
+        .when(k % 4 == 0, F.concat(F.lit("SELECT * FROM SNOWFLAKE_SAMPLE_DATA.T"), k))
         .when(k % 4 == 1, F.concat(F.lit("SELECT a FROM SNOWFLAKE_SAMPLE_DATA.T"), k, F.lit(" where x = 1")))
         .when(k % 4 == 2, F.lit("SHOW TABLES"))
         .otherwise(F.lit("SELECT CURRENT_USER() FROM dual"))
@@ -204,6 +208,17 @@ def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def flat_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(grp, val): events by user group; its value is the same in all but the first event of odd groups."""
+    grp = F.pmod(F.col("event_id"), F.lit(4)).cast("int")
+    level = F.element_at(F.array(*[F.lit(x) for x in (0.1, 123.45, 12345.67, 7654321.09)]), grp + 1)
+    one_off = (grp % 2 == 1) & (F.col("event_id") < 4)
+    return table(spark, sf_dir, "events").select(
+        grp.alias("grp"), F.when(one_off, level * F.lit(1.0000001)).otherwise(level).alias("val")
+    )
+
+
 @view
 def metering_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credits per warehouse and hour: one hundredth of the milliseconds."""

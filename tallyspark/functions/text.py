@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..fixed_values import CONSOLE_PREFIXES
+from ..fixed_values import CONSOLE_PREFIXES, QUERY_PREVIEW_CHARS
 
 MISSING = "—"  # shown for a value that is not there
 
@@ -44,6 +44,19 @@ def tested_once(value: Column, condition: Callable[[Column], Column]) -> Column:
     return F.exists(F.array(value), condition)
 
 
+def with_query_text(queries: DataFrame) -> DataFrame:
+    """``queries``, with the preview as ``query_text`` where the table has no such column."""
+    if "query_text" not in queries.columns:
+        return queries.withColumn("query_text", F.col("query_text_preview"))
+    return queries
+
+
+def preview_in_place(texts: DataFrame) -> DataFrame:
+    """The beginning of ``query_text`` instead of it, as ``query_text_preview``."""
+    cut = F.substring("query_text", 1, QUERY_PREVIEW_CHARS)
+    return texts.withColumn("query_text", cut).withColumnRenamed("query_text", "query_text_preview")
+
+
 def starts_with_any(text: Column, prefixes: Iterable[str]) -> Column:
     """True when the text starts with one of the prefixes (null text gives null)."""
     test = F.lit(False)

@@ -26,16 +26,21 @@ def attribution_kind() -> Column:
 
 
 def enrich_events(df: DataFrame) -> DataFrame:
-    """One row per record, with 10 more columns.
+    """One row per record, with its attribution, metadata and ``query_text`` columns.
 
-    The JSON text is parsed once per row however many keys are used, and not at all
+    ``query_text`` is the whole text of a query; records that have only its beginning give
+    that. The JSON text is parsed once per row however many keys are used, and not at all
     when a query uses none of them.
     """
     keys = [*METADATA_TEXT_KEYS, *METADATA_NUMBER_KEYS]
     fields = {k: F.col(f"__metadata.{k}") for k in METADATA_TEXT_KEYS}
     fields |= {k: F.col(f"__metadata.{k}").try_cast("double") for k in METADATA_NUMBER_KEYS}
+    # inside an array the parse has one mention, and is not repeated for the second choice
+    texts = F.array(metadata_struct(["query_text", "query_text_preview"]))
+    whole = F.transform(texts, lambda text: F.coalesce(text["query_text"], text["query_text_preview"]))
+    fields["query_text"] = F.col("__texts")[0]
     return (
-        df.withColumn("__metadata", metadata_struct(keys))
+        df.withColumns({"__metadata": metadata_struct(keys), "__texts": whole})
         .withColumns({"attribution_key": attribution_key(), "attribution_kind": attribution_kind(), **fields})
-        .drop("__metadata")
+        .drop("__metadata", "__texts")
     )

@@ -23,7 +23,6 @@ from ..fixed_values import (
     QUERY_PREVIEW_CHARS,
     SNOWFLAKE,
     SOURCE_LOOKBACK_DAYS,
-    SOURCE_ROW_LIMIT,
     UNKNOWN_SERVICE,
 )
 from ..functions.calendar import as_day, iso_moment, moment_of_epoch_ms, month_start
@@ -136,10 +135,10 @@ def recent_rows(
     *,
     time_col: str = "START_TIME",
     lookback_days: int = SOURCE_LOOKBACK_DAYS,
-    row_limit: int | None = SOURCE_ROW_LIMIT,
+    row_limit: int | None = None,
     tie_break: str | None = None,
 ) -> DataFrame:
-    """Rows of the last days, newest first, at most ``row_limit`` of them (None: all)."""
+    """Rows of the last days; with ``row_limit``, the newest so many of them, newest first."""
     window = rows.filter(F.col(time_col) >= F.lit(now) - F.expr(f"INTERVAL {int(lookback_days)} DAYS"))
     if row_limit is None:
         return window
@@ -177,6 +176,8 @@ def normalize_query_history(rows: DataFrame, now: datetime) -> DataFrame:
             rows_produced=number("ROWS_PRODUCED"),
             credits_used_cloud_services=number("CREDITS_USED_CLOUD_SERVICES"),
             query_text_preview=F.substring(F.coalesce("QUERY_TEXT", F.lit("")), 1, QUERY_PREVIEW_CHARS),
+            # only where the preview is not all of it
+            query_text=F.when(F.length("QUERY_TEXT") > QUERY_PREVIEW_CHARS, F.col("QUERY_TEXT")),
         ),
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -51,8 +51,9 @@ def read_raw_store(
 
     ``tables`` (pairs of source and table), ``sources`` and ``ingested_since`` choose
     directories, so the files of the rest are not even opened. ``since``/``until`` bound ``usage_date``, both included;
-    the store keeps dates as ISO text, whose text order is date order, so the bounds are
-    also put on the text, where Parquet statistics can skip row groups.
+    the store keeps dates as text, where Parquet statistics can skip row groups, so the text is
+    bounded too: from below by ``since`` in ISO form, from above by the end of the year of
+    ``until``. No date is lost whose month or day has one digit.
     """
     dirs = _table_dirs(spark, raw_dir, tables, sources)
     if not dirs:
@@ -64,7 +65,7 @@ def read_raw_store(
     if since is not None:
         rows = rows.filter(F.col("usage_date") >= since.isoformat())
     if until is not None:
-        rows = rows.filter(F.col("usage_date") < (until + timedelta(days=1)).isoformat())
+        rows = rows.filter(F.col("usage_date") < f"{until.year + 1:04d}")
     rows = rows.withColumns(
         {c: F.try_to_date(c) for c in DATE_COLUMNS} | {c: F.try_to_timestamp(F.col(c)) for c in TIMESTAMP_COLUMNS}
     )

@@ -66,8 +66,10 @@ def test_query_history(spark):
     assert (rows["q"].service, rows["q"].account_identifier, rows["q"].usage_unit) == ("WH", "WH", "milliseconds")
     assert rows["q"].cost_usd is None and rows["q"].cost_basis is None
     assert len(json.loads(rows["q"].raw_metadata)["query_text_preview"]) == 500
+    assert json.loads(rows["q"].raw_metadata)["query_text"] == "x" * 600
+    assert json.loads(rows["d"].raw_metadata)["query_text"] is None
     assert json.loads(rows["d"].raw_metadata)["query_text_preview"] == ""
-    assert len(json.loads(rows["q"].raw_metadata)) == 9, "keys without a value are kept"
+    assert len(json.loads(rows["q"].raw_metadata)) == 10, "keys without a value are kept"
 
 
 def test_recent_rows(spark):

@@ -109,7 +109,7 @@ def test_date_bounds_are_exact_and_pushed(spark, tmp_path):
     some = rs.read_raw_store(spark, str(tmp_path), since=date(2026, 8, 2), until=date(2026, 8, 2))
     assert [r.usage_date for r in some.collect()] == [date(2026, 8, 2)]
     plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(usage_date,2026-08-02)" in plan and "LessThan(usage_date,2026-08-03)" in plan
+    assert "GreaterThanOrEqual(usage_date,2026-08-02)" in plan and "LessThan(usage_date,2027)" in plan
 
 
 def test_output_partitions(spark, tmp_path):
@@ -130,3 +130,16 @@ def test_materialized_table_lies_in_the_shared_folder(spark):
     assert df.filter("k = 1").count() == 5
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert "PushedFilters: [IsNotNull(k), EqualTo(k,1)]" in df.filter("k = 1")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_keep_dates_of_one_digit(spark, tmp_path):
+    stored = ["2026-8-1", "2026-08-31", "2026-8-9", "2026-09-01", "2026-10-02", "2025-12-31", "2026-1-5"]
+    rows = [{c: None for c in RECORD_COLUMNS} | {"source": "aws", "usage_date": d} for d in stored]
+    folder = tmp_path / "aws" / "cost_and_usage" / "ingested_date=2026-08-12"
+    folder.mkdir(parents=True)
+    table = pa.Table.from_pylist(rows, pa.schema([(c, pa.string() if c not in ("cost_usd", "usage_quantity") else pa.float64()) for c in RECORD_COLUMNS]))
+    pq.write_table(table, folder / "part.parquet")
+    got = rs.read_raw_store(spark, str(tmp_path), since=date(2026, 8, 1), until=date(2026, 8, 31)).collect()
+    assert sorted(r.usage_date.day for r in got) == [1, 9, 31]
+    early = rs.read_raw_store(spark, str(tmp_path), since=date(2026, 1, 1), until=date(2026, 8, 1)).collect()
+    assert sorted(r.usage_date for r in early) == [date(2026, 1, 5), date(2026, 8, 1)]
