@@ -42,7 +42,7 @@ def _group_measures(value: Column, exact: bool) -> dict[str, Column]:
 
     For a decimal column of up to 18 digits, count, sum and sum of squares are exact. Doubles
     would lose a small spread in such sums, so they have central moments; the extremes and a
-    sum of hashes tell exactly whether the others of an extreme value are all equal.
+    sum of hashes tell, but for a collision, whether the others of an extreme value are all equal.
     """
     if exact:
         return dict(zip(_EXACT_STATS, [F.count(value), F.sum(value), F.sum(value * value)]))
