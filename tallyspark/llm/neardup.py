@@ -3,9 +3,10 @@
 Rows with the same label and vector are one point before anything is compared. Centres are
 fitted on a bounded sample of directions; every point belongs to the cell of its nearest
 centre and also visits each cell with a smaller number whose border is within ``boundary``
-of it, so a link across cells is looked for once, in the smaller of the two. A boundary of
-sin(acos(threshold)) finds every link; a smaller one, as by default, is cheaper and misses a
-link only if the two lie across a border in its very direction (recall is in the README).
+of it, so a link across cells is looked for once, in the smaller of the two. The default
+boundary is sin(acos(threshold)), and finds every link of any data; a smaller one misses links.
+A point also stays out of a cell that borders nearer than that on another cell: who is within
+reach of a cell is within ``boundary`` of each of its borders.
 
 Points of a cell are compared as blocked products. A cell with more than ``block`` points is
 dealt into blocks, and each pair of blocks is a group of its own. Groups return the number
@@ -18,6 +19,8 @@ equal length are compared. Columns other than id, vector and label are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,7 +31,10 @@ from .components import connected_components
 from .topk import finite
 
 THRESHOLD = 0.98
-BOUNDARY = 0.1
+# what rounding may add to a distance from a border
+MARGIN = 1e-7
+# borders of a cell with this many of a point's nearest cells are looked at
+BORDERS = 16
 CELL = 2048
 BLOCK = 4096
 MAX_CELLS = 4096
@@ -55,14 +61,27 @@ def fit_centres(sample: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndar
     return centres
 
 
+def boundary_of(threshold: float) -> float:
+    """How far from a border a point may lie that links across it."""
+    return math.sqrt(1 - min(threshold, 1) ** 2) if threshold > 0 else 1.0
+
+
 def cells_of(points: np.ndarray, centres: np.ndarray, boundary: float) -> list[list[int]]:
     """For each unit vector its own cell, then the smaller cells whose border is near."""
     scores = points @ centres.T
     home = np.argmax(scores, axis=1)
     apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    near = np.take_along_axis(scores, home[:, None], 1) - scores <= boundary * apart[home]
+    near = np.take_along_axis(scores, home[:, None], 1) - scores <= boundary * apart[home] + MARGIN
     near &= np.arange(len(centres))[None, :] < home[:, None]
-    return [[int(h), *np.flatnonzero(n).tolist()] for h, n in zip(home, near)]
+    row, cell = np.nonzero(near)
+    few = min(BORDERS, len(centres))
+    for other in np.argpartition(-scores, few - 1, axis=1)[:, :few].T:
+        there = scores[row, other[row]] - scores[row, cell] <= boundary * apart[cell, other[row]] + MARGIN
+        row, cell = row[there], cell[there]
+    found = [[int(h)] for h in home]
+    for i, c in zip(row.tolist(), cell.tolist()):
+        found[i].append(c)
+    return found
 
 
 def compare(ids: np.ndarray, points: np.ndarray, weights: np.ndarray, home: np.ndarray, side: np.ndarray, threshold: float):
@@ -73,14 +92,15 @@ def compare(ids: np.ndarray, points: np.ndarray, weights: np.ndarray, home: np.n
     """
     links, roots = np.zeros(len(ids), np.int64), np.arange(len(ids))
     mixed = bool(side.any()) and not bool(side.all())
-    for start in range(0, len(ids), 512):
-        part = slice(start, start + 512)
+    at_home, visitors = np.flatnonzero(home), np.flatnonzero(~home)
+    for start in range(0, len(at_home), 512):
+        part = at_home[start : start + 512]
         close = points[part] @ points.T >= threshold
-        close &= home[part, None] | home[None, :]
         close &= (side[part, None] != side[None, :]) if mixed else ids[part, None] != ids[None, :]
-        links[part] = close @ weights
+        links[part] += close @ weights
+        links[visitors] += weights[part] @ close[:, visitors]
         for i in np.flatnonzero(close.any(axis=1)):
-            group = np.append(np.flatnonzero(close[i]), start + i)
+            group = np.append(np.flatnonzero(close[i]), part[i])
             tops = _tops(roots, group)
             roots[tops] = tops[np.argmin(ids[tops])]
     return links, ids[_tops(roots, np.arange(len(ids)))]
@@ -98,7 +118,7 @@ def near_duplicates(
     vectors: DataFrame,
     *,
     threshold: float = THRESHOLD,
-    boundary: float = BOUNDARY,
+    boundary: float | None = None,
     cell: int = CELL,
     block: int = BLOCK,
     id_col: str = "vec_id",
@@ -110,6 +130,7 @@ def near_duplicates(
     ``n_links`` counts the other rows linked directly, ``component_id`` is the least id
     reachable, itself included, and one row of each component is ``kept``.
     """
+    reach = boundary_of(threshold) if boundary is None else boundary
     spark = vectors.sparkSession
     doubles = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     able = finite(F.col(vector_col)) & F.exists(F.col(vector_col), lambda x: x != 0) & F.col(label_col).isNotNull()
@@ -151,7 +172,7 @@ def near_duplicates(
         for n in np.unique(lengths):
             at = np.flatnonzero(lengths == n)
             for part in np.array_split(at, -(-len(at) // 1024)):
-                found = cells_of(unit(np.stack([v.iloc[i] for i in part])), centres.value[int(n)], boundary)
+                found = cells_of(unit(np.stack([v.iloc[i] for i in part])), centres.value[int(n)], reach)
                 for i, c in zip(part, found):
                     out[i] = c
         return pd.Series(out)

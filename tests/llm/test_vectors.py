@@ -57,3 +57,27 @@ def test_near_duplicates_equal_brute_force(spark, cell, block):
     got = neardup.near_duplicates(frame, boundary=0.2, cell=cell, block=block).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in got) == want
     assert neardup.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_no_link_is_lost_across_borders(spark):
+    rng = np.random.default_rng(3)
+    spread = np.zeros((2, 64))
+    spread[:, 1:3] = np.eye(2)
+    rows = np.eye(64)[0] + 0.15 * rng.normal(size=(5000, 2)) @ spread  # one label, variation in two directions
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    unit = neardup.unit(rows)
+    close = unit @ unit.T >= neardup.THRESHOLD
+    centres = neardup.fit_centres(unit, 3)
+    assert any(len(c) > 1 for c in neardup.cells_of(unit, centres, neardup.boundary_of(neardup.THRESHOLD)))
+    got = {r["vec_id"]: r["n_links"] for r in neardup.near_duplicates(frame).collect()}
+    assert [got[i] for i in range(len(rows))] == (close.sum(axis=1) - 1).tolist()
+
+
+@pytest.mark.parametrize("threshold", [0.98, 0.9, 0.5])
+def test_cells_meet_all_links(threshold):
+    rng = np.random.default_rng(4)
+    for rank in (2, 4, 12):
+        points = neardup.unit(rng.normal(size=(800, rank)) @ rng.normal(size=(rank, 12)) + rng.normal(size=12))
+        cells = neardup.cells_of(points, neardup.fit_centres(points, 25), neardup.boundary_of(threshold))
+        for i, j in np.argwhere(points @ points.T >= threshold):
+            assert cells[i][0] in cells[j] or cells[j][0] in cells[i]
