@@ -59,3 +59,12 @@ def test_base_scores(spark):
         assert [x[4] for x in have] == pytest.approx([x[4] for x in want])
         assert all(r["train_tokens"] == total and r["score"] <= 0 for r in got)
     assert language_model.language_scores(empty(spark), VOCABULARY).count() == 0
+
+
+def test_scores_know_all_training_words(spark, monkeypatch):
+    docs = documents(spark)
+    key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["n_known"])
+    want = sorted(language_model.language_scores(docs, VOCABULARY).collect(), key=key)
+    monkeypatch.setattr(language_model, "FREQUENT", 3)
+    got = sorted(language_model.language_scores(docs, VOCABULARY).collect(), key=key)
+    assert [r["score"] for r in got] == pytest.approx([r["score"] for r in want], rel=1e-9)
