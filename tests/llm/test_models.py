@@ -3,6 +3,7 @@ import os
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -68,3 +69,24 @@ def test_scores_know_all_training_words(spark, monkeypatch):
     monkeypatch.setattr(language_model, "FREQUENT", 3)
     got = sorted(language_model.language_scores(docs, VOCABULARY).collect(), key=key)
     assert [r["score"] for r in got] == pytest.approx([r["score"] for r in want], rel=1e-9)
+
+
+def test_company_and_windows_cover_all_training_ids(spark):
+    rng = np.random.default_rng(2)
+    size, texts = 300, [rng.integers(0, 300, n) for n in [1, 5, 24, 25, 26, 40, 5000] + [30] * 2000]
+    lines = spark.createDataFrame([(ids.astype("<u2").tobytes(),) for ids in texts], "ids binary")
+    model = language_model.AttentionModel(np.bincount(np.concatenate(texts), minlength=size), np.zeros(size, bool), 0, 1)
+    place = model.company()
+    want = Counter(
+        (int(ids[i]), int(place[ids[j]]))
+        for ids in texts for i in range(len(ids)) for j in range(max(0, i - language_model.CONTEXT), i) if place[ids[j]] >= 0
+    )
+    got = language_model._company_counts(lines, place).to_pylist()
+    assert {divmod(r["key"], language_model.COMPANY): r["n"] for r in got} == dict(want)
+    for ids in texts:
+        found = language_model.windows_of(ids, 0, size)
+        line = [0, *ids.tolist()]
+        for k, window in enumerate(found.tolist()):
+            part = line[k * language_model.STRIDE :][: language_model.WINDOW + 1]
+            assert window == part + [size] * (language_model.WINDOW + 1 - len(part))
+        assert (len(found) - 1) * language_model.STRIDE + language_model.WINDOW >= len(ids)
