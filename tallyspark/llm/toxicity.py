@@ -1,7 +1,7 @@
 """Toxicity scores by weak supervision.
 
-Voters are word beginnings and whole words that stand out in toxic rows, chosen in layers so
-that each adds toxic rows its layer lacks, and two patterns of style. A generative model with a hidden
+Voters are word beginnings and whole words that stand out in toxic rows, however rare, chosen in
+layers so that each adds toxic rows its layer lacks, and two patterns of style. A generative model with a hidden
 class, fitted by expectation maximisation, estimates how often each voter fires in either
 class, and from the correlations of the voters within a class how much of a vote is its own.
 Its posteriors are the labels on which the linear classifier is trained that scores texts.
@@ -34,12 +34,12 @@ THRESHOLD = 0.7
 DIVISOR, HELD_OUT = 3, 1
 # beginnings of words of these lengths are looked at, and whole words
 BEGINNINGS = range(3, 9)
-CANDIDATES = 50_000
-SHORTLIST = 2_000
 VOTERS = 256
 LAYERS = 8
-# a voter must add this share of the toxic rows
-LEAST_SHARE = 0.02
+# a voter must be in, and add, so many toxic rows, however many there are
+LEAST_ROWS = 3
+# standard errors of the lower bound of its precision, which must exceed the share of toxic rows
+ERRORS = 1.96
 # a voter's share of toxic rows, weighing both classes alike
 PRECISION = 0.998
 WHOLE = "$"
@@ -171,14 +171,13 @@ def _choose(hits: list[list[int]], y: np.ndarray, patterns: list[str]) -> list[i
     for row in np.flatnonzero(y):
         for i in hits[row]:
             rows[i].add(int(row))
-    least = max(3, LEAST_SHARE * y.sum())
     open_ = set(range(len(patterns)))
     chosen: list[int] = []
     for _ in range(LAYERS):
         covered: set[int] = set()
         while open_ and len(chosen) < VOTERS:
             gain, best = max((len(rows[i] - covered), -i) for i in open_)
-            if gain < least:
+            if gain < LEAST_ROWS:
                 break
             best = -best
             longer = [i for i in open_ if patterns[i].startswith(patterns[best]) and len(rows[i]) >= 0.97 * len(rows[best])]
@@ -199,11 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     shortlist: list[str] = []
     if toxic:
-        often = _document_counts(rows.filter("y = 1"), None).filter(F.col("rows") >= max(3, LEAST_SHARE * toxic))
-        candidates = [tuple(r) for r in often.orderBy(F.desc("rows"), "pattern").limit(CANDIDATES).collect()]
-        elsewhere = {p: n for p, n in _document_counts(rows.filter("y = 0"), [p for p, _ in candidates]).collect()}
-        share = {p: n / toxic / (n / toxic + elsewhere.get(p, 0) / max(1, clean)) for p, n in candidates}
-        shortlist = [p for p, _ in candidates if share[p] >= PRECISION][:SHORTLIST]
+        often = _document_counts(rows.filter("y = 1")).filter(F.col("rows") >= LEAST_ROWS)
+        elsewhere = _document_counts(rows.filter("y = 0")).withColumnRenamed("rows", "others")
+        n, m = F.col("rows"), F.coalesce("others", F.lit(0))
+        precise = n / toxic / (n / toxic + m / max(1, clean)) >= PRECISION
+        sure = _lower_bound(n, m) > toxic / (toxic + clean) if clean else F.lit(True)
+        # a pattern is in a row or more of the bounded sample
+        passed = often.join(elsewhere, "pattern", "left").filter(precise & sure).orderBy(F.desc("rows"), "pattern")
+        shortlist = [r["pattern"] for r in passed.select("pattern", "rows").collect()]
     found = _hits(rows, shortlist).orderBy("doc_id").collect()
     y = np.array([r["y"] for r in found], int)
     chosen = _choose([r["hits"] for r in found], y, shortlist)
@@ -217,17 +219,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return ToxicityModel([shortlist[i] for i in chosen], weights, start)
 
 
-def _document_counts(rows: DataFrame, wanted: list[str] | None) -> DataFrame:
-    """(pattern, rows): in how many texts a pattern occurs; of all, or of those wanted."""
+def _lower_bound(n: Column, m: Column) -> Column:
+    """Wilson's lower bound of n / (n + m)."""
+    z = ERRORS**2
+    return (n + z / 2 - ERRORS * F.sqrt(n * m / (n + m) + z / 4)) / (n + m + z)
+
+
+def _document_counts(rows: DataFrame) -> DataFrame:
+    """(pattern, rows): in how many texts a pattern occurs."""
     schema = pa.schema([("pattern", pa.string()), ("rows", pa.int64())])
-    known = None if wanted is None else set(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
         for (texts,) in rows_of(batches, "text"):
             for text in texts:
-                found = _patterns(text or "")
-                total.update(found if known is None else found & known)
+                total.update(_patterns(text or ""))
         yield as_table(schema, [list(total), list(total.values())])
 
     return rows.mapInArrow(count, "pattern string, rows long").groupBy("pattern").agg(F.sum("rows").alias("rows"))

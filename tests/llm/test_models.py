@@ -90,3 +90,12 @@ def test_company_and_windows_cover_all_training_ids(spark):
             part = line[k * language_model.STRIDE :][: language_model.WINDOW + 1]
             assert window == part + [size] * (language_model.WINDOW + 1 - len(part))
         assert (len(found) - 1) * language_model.STRIDE + language_model.WINDOW >= len(ids)
+
+
+def test_rare_toxic_words_vote(spark):
+    texts = [f"filler text {i}" if i % 3 else f"grumbax number {i}" for i in range(6000)]
+    texts = [f"zorkel thing {i}" if i % 600 == 1 else t for i, t in enumerate(texts)]  # ten of 2010 toxic rows
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("filler" not in t)) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert any(p.startswith("zor") for p in model.patterns) and any(p.startswith("gru") for p in model.patterns)
