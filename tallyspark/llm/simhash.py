@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -139,35 +140,52 @@ def near_pairs(prints: DataFrame, bits: int = BITS, segments: int = SEGMENTS, cr
     return pairs.unionByName(met)
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id): one row per document.
-
-    ``component_id`` is the least id among the documents that links lead to.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fingerprint, root, component_id): the root is a fingerprint and names one component only."""
     marked = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
     prints = materialize(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = materialize(connected_components(near_pairs(prints), "a", "b"), "roots")
     least = roots.join(prints, roots["node"] == prints["fingerprint"]).groupBy("root").agg(F.min("first").alias("component"))
-    named = roots.join(materialize(least, "components"), "root").select(F.col("node").alias("fingerprint"), "component")
+    named = roots.join(materialize(least, "components"), "root").select(F.col("node").alias("fingerprint"), "root", "component")
     groups = prints.join(materialize(named, "named"), "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component", "first").alias("component_id")
+        "fingerprint", F.coalesce("root", "fingerprint").alias("root"), F.coalesce("component", "first").alias("component_id")
     )
-    return marked.join(materialize(groups, "groups"), "fingerprint").select(
+    return marked.join(materialize(groups, "groups"), "fingerprint")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint, component_id): one row per document.
+
+    ``component_id`` is the least id among the documents that links lead to.
+    """
+    return _grouped(docs, id_col, text_col).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their component: that of its least id.
+    """One row of ``docs`` for each component: that of its least id, then least fingerprint.
 
-    Of rows that repeat an id one stays. Rows with a null id cannot be named, and stay.
+    A null id comes after all others, so a component keeps such a row only if it has no other.
     """
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col)
-    least = groups.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("__times"))
-    chosen = materialize(
-        least.filter("doc_id = component_id").select(F.col("doc_id").alias("__chosen"), "__times"), "representatives"
+    groups = materialize(_grouped(docs, id_col, text_col), "grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "fingerprint")
+    best = groups.groupBy("root").agg(F.min(order).alias("best")).select(
+        F.col("best.doc_id").alias("__chosen"), F.col("best.fingerprint").alias("__print")
     )
-    kept = docs.join(chosen, docs[id_col].cast("long") == chosen["__chosen"])
-    once = kept.filter("__times = 1").select(docs.columns)
-    repeated = kept.filter("__times > 1").select(docs.columns).dropDuplicates([id_col])
-    return once.unionByName(repeated).unionByName(docs.filter(F.col(id_col).isNull()))
+    times = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__times"))
+    chosen = materialize(best.join(times, F.col("__chosen") == F.col("doc_id"), "left").drop("doc_id"), "representatives")
+    key = docs[id_col].cast("long")
+    once = docs.join(chosen.filter("__times = 1"), key == F.col("__chosen"), "left_semi")
+
+    @F.pandas_udf("long")
+    def printed(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t or "") for t in texts], np.uint64).astype(np.int64))
+
+    # ids that repeat, and null ids, are told apart by their texts
+    repeated = chosen.filter("__times > 1").select("__chosen").distinct()
+    several = docs.join(repeated, key == F.col("__chosen"), "left_semi").unionByName(docs.filter(key.isNull()))
+    several = several.withColumn("__own", F.col(id_col).cast("long")).withColumn("__seen", printed(F.col(text_col).cast("string")))
+    same = F.col("__own").eqNullSafe(F.col("__chosen")) & (F.col("__seen") == F.col("__print"))
+    several = several.join(chosen.select("__chosen", "__print"), same, "left_semi").dropDuplicates(["__own", "__seen"])
+    return once.unionByName(several.select(docs.columns))

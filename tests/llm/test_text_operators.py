@@ -205,3 +205,12 @@ def test_long_text_in_segments(monkeypatch):
     want = substrings.stripped(text, windows, 13)
     monkeypatch.setattr(substrings, "BATCH_BYTES", 300)
     assert substrings.stripped(text, windows, 13) == want
+
+
+def test_each_component_keeps_one_row(spark):
+    x, y, z = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white")
+    rows = [(5, x), (5, y), (3, y), (7, x), (None, z), (None, z), (None, x), (9, "last words here now"), (9, "last words here now")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.representatives(frame).collect()
+    want = [(3, y), (5, x), (9, "last words here now"), (None, z)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
