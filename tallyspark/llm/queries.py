@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, language_model, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
+from . import conversations, encoding, language_model, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,6 +59,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(rows, conversations.damaged(rows))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +77,7 @@ QUERIES = {
         op8_bpe_encoding,
         op9_embedding_near_dedup,
         op10_quality_classifier,
+        op13_conversation_repair,
     )
 }
 
@@ -130,4 +136,76 @@ ORACLE = {
         ) SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(ends.low, e.vec_id) AS component_id,
                  coalesce(ends.low, e.vec_id) = e.vec_id AS kept
           FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN ends USING (vec_id)""",
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE draws AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(
+                       list_concat([4294967295::BIGINT], [ascii(c)::BIGINT FOR c IN string_split(
+                           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')]),
+                       lambda crc, byte: list_reduce(
+                           [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)),
+                       4294967295::BIGINT) % 20 AS draw
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                   CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN draw = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM draws WHERE draw <> 0
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS time
+            FROM damaged
+        ), faults AS (
+            SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+                   lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS initial_before,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN time > 1 THEN 2
+                        WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
+                        THEN 3 ELSE 0 END AS fault
+            FROM numbered
+        ), facts AS (
+            SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                   count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (initial_before IS NOT NULL AND initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faults GROUP BY conv_id
+        ), inserts(before, inserted, place, said) AS (
+            VALUES (0, 0, 0, ''), (1, 0, 1, ''), (2, 0, 2, ''), (3, 0, 3, ''),
+                   (0, 1, 2, 'user:'), (1, 1, 2, e'\nuser:'), (2, 1, 3, e'\nassistant:'), (3, 1, 2, e'\nuser:'),
+                   (0, 2, 3, e'user:\nassistant:'), (1, 2, 3, e'\nuser:\nassistant:'),
+                   (2, 2, 2, e'\nassistant:\nuser:'), (3, 2, 3, e'\nuser:\nassistant:')
+        ), edits(letter, initial, place, after, price) AS (
+            VALUES ('D', NULL, 0, 0, 4), ('D', NULL, 1, 1, 4), ('D', NULL, 2, 2, 4), ('D', NULL, 3, 3, 4),
+                   ('R', NULL, 0, 2, 3), ('R', NULL, 1, 2, 3), ('R', NULL, 2, 3, 3), ('R', NULL, 3, 2, 3),
+                   ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0)
+        ), paths AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS place, 0::BIGINT AS cost, '' AS audit, '' AS said FROM facts
+            UNION ALL
+            SELECT conv_id, i, after, cost, audit, said FROM (
+                SELECT p.conv_id, f.i, e.after,
+                       p.cost + 3 * n.inserted + e.price + CASE WHEN f.fault = 3 AND e.letter <> 'D' THEN 3 ELSE 0 END AS cost,
+                       p.audit || repeat('I', n.inserted) || e.letter AS audit,
+                       p.said || n.said || CASE WHEN e.letter = 'D' THEN '' ELSE
+                           CASE WHEN e.place = 0 THEN '' ELSE chr(10) END
+                           || CASE WHEN e.letter = 'K' THEN f.role WHEN e.after = 2 THEN 'user' ELSE 'assistant' END
+                           || ':' || f.text END AS said,
+                       row_number() OVER (PARTITION BY p.conv_id, e.after ORDER BY
+                           p.cost + 3 * n.inserted + e.price + CASE WHEN f.fault = 3 AND e.letter <> 'D' THEN 3 ELSE 0 END,
+                           p.audit || repeat('I', n.inserted) || e.letter) AS best
+                FROM paths p JOIN faults f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
+                JOIN inserts n ON n.before = p.place
+                JOIN edits e ON e.place = n.place AND (e.letter = 'D' OR f.fault NOT IN (1, 2))
+                            AND (e.initial IS NULL OR e.initial = f.initial)
+            ) WHERE best = 1
+        ), ends AS (
+            SELECT p.conv_id, p.cost + 3 * n.inserted AS cost, p.audit || repeat('I', n.inserted) AS audit, p.said || n.said AS said
+            FROM paths p JOIN facts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i
+            JOIN inserts n ON n.before = p.place AND n.place IN (0, 3)
+            QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + 3 * n.inserted, p.audit || repeat('I', n.inserted)) = 1
+        ) SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+                 coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+                 coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+          FROM (SELECT DISTINCT conv_id FROM conversations) o
+          LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM o.conv_id
+          LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
