@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, encoding, language_model, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
+from . import conversations, encoding, language_model, lexical, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,6 +59,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return conversations.repair_report(rows, conversations.damaged(rows))
@@ -77,6 +81,7 @@ QUERIES = {
         op8_bpe_encoding,
         op9_embedding_near_dedup,
         op10_quality_classifier,
+        op12_ranked_search,
         op13_conversation_repair,
     )
 }
@@ -136,6 +141,34 @@ ORACLE = {
         ) SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(ends.low, e.vec_id) AS component_id,
                  coalesce(ends.low, e.vec_id) = e.vec_id AS kept
           FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN ends USING (vec_id)""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, terms FROM (
+                SELECT doc_id, regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents)
+            WHERE len(terms) > 0
+        ), corpus AS (
+            SELECT count(*) AS n, CAST(sum(len(terms)) AS BIGINT) AS total FROM d
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), counts AS (
+            SELECT row, doc_id, size, term, count(*) AS tf
+            FROM (SELECT row, doc_id, len(terms) AS size, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, corpus GROUP BY term, n
+        ), scores AS (
+            SELECT item_id, row, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * n) // total)))) AS BIGINT) AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term), corpus GROUP BY item_id, row, doc_id
+        ), best AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, row) AS INTEGER) AS rank,
+                   doc_id, score FROM scores WHERE score > 0
+        ) SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 10""",
     "op13_conversation_repair": r"""
         WITH RECURSIVE draws AS (
             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
