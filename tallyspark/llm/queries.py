@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, encoding, language_model, lexical, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity
+from . import conversations, encoding, language_model, lexical, neardup, packing, quality, simhash, substrings, token_counts, topk, toxicity, warc
 from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
@@ -59,6 +59,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -81,6 +85,7 @@ QUERIES = {
         op8_bpe_encoding,
         op9_embedding_near_dedup,
         op10_quality_classifier,
+        op11_warc,
         op12_ranked_search,
         op13_conversation_repair,
     )
@@ -141,6 +146,17 @@ ORACLE = {
         ) SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(ends.low, e.vec_id) AS component_id,
                  coalesce(ends.low, e.vec_id) = e.vec_id AS kept
           FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN ends USING (vec_id)""",
+    "op11_warc": """
+        WITH p AS (
+            SELECT row_number() OVER () AS row, page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages
+        ), g AS (
+            SELECT *, CASE WHEN size >= 1000
+                THEN first_value(row) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, row DESC) ELSE row END AS best,
+                first_value(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, row DESC) AS best_page
+            FROM p
+        ) SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+                 CASE WHEN best = row THEN 'response' ELSE 'revisit' END AS record_type,
+                 CASE WHEN best <> row THEN best_page END AS refers_to FROM g""",
     "op12_ranked_search": r"""
         WITH d AS (
             SELECT row_number() OVER () AS row, doc_id, terms FROM (
