@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
 
-__all__ = ["as_table", "materialize", "on_worker", "remainder", "rows_of", "ship_package", "text_slices"]
+__all__ = ["as_table", "forget", "materialize", "on_worker", "remainder", "rows_of", "ship_package", "text_slices"]
 
 _state: dict[str, object] = {}
 _shipped: set[str] = set()
@@ -35,12 +36,21 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def on_worker(key: str, make: Callable[[], object]) -> object:
-    """State that a Python worker keeps between its tasks, made once."""
+    """State that a Python worker keeps between its tasks: the last that was asked for."""
     if key not in _state:
+        forget()
         _state[key] = make()
     return _state[key]
 
 
+def forget() -> None:
+    """Drop what the worker keeps, and give the memory back; for tasks that need none of it."""
+    if _state:
+        _state.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str, chunk: int = 256) -> Iterator[list[list]]:
     """Columns of at most ``chunk`` rows at a time as Python lists."""
     for batch in batches:

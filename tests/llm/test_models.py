@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import language_model, quality, toxicity
 from tallyspark.llm.common import ship_package
@@ -58,7 +59,7 @@ def test_base_scores(spark):
         have = sorted(((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["base_score"]) for r in got), key=key)
         assert [x[:4] for x in have] == [x[:4] for x in want]
         assert [x[4] for x in have] == pytest.approx([x[4] for x in want])
-        assert all(r["train_tokens"] == total and r["score"] <= 0 for r in got)
+        assert all(r["train_tokens"] == total and r["score"] < 0 for r in got)
     assert language_model.language_scores(empty(spark), VOCABULARY).count() == 0
 
 
@@ -66,30 +67,128 @@ def test_scores_know_all_training_words(spark, monkeypatch):
     docs = documents(spark)
     key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["n_known"])
     want = sorted(language_model.language_scores(docs, VOCABULARY).collect(), key=key)
-    monkeypatch.setattr(language_model, "FREQUENT", 3)
+    monkeypatch.setattr(language_model, "FREQUENT", language_model.SINGLE)
     got = sorted(language_model.language_scores(docs, VOCABULARY).collect(), key=key)
     assert [r["score"] for r in got] == pytest.approx([r["score"] for r in want], rel=1e-9)
 
 
-def test_company_and_windows_cover_all_training_ids(spark):
+def test_windows_hold_every_word_once():
     rng = np.random.default_rng(2)
-    size, texts = 300, [rng.integers(0, 300, n) for n in [1, 5, 24, 25, 26, 40, 5000] + [30] * 2000]
-    lines = spark.createDataFrame([(ids.astype("<u2").tobytes(),) for ids in texts], "ids binary")
-    model = language_model.AttentionModel(np.bincount(np.concatenate(texts), minlength=size), np.zeros(size, bool), 0, 1)
-    place = model.company()
-    want = Counter(
-        (int(ids[i]), int(place[ids[j]]))
-        for ids in texts for i in range(len(ids)) for j in range(max(0, i - language_model.CONTEXT), i) if place[ids[j]] >= 0
+    classes = np.arange(400) + 1
+    texts = [rng.integers(2, 400, n).astype(np.int32) for n in [0, 1, 15, 16, 17, 31, 32, 40, 5000, 0]]
+    inputs, goals, lengths = language_model.windows_of(texts, classes)
+    row = 0
+    for text, length in zip(texts, lengths.tolist()):
+        line, want = [language_model.START, *text.tolist()], [*classes[text].tolist(), 0]
+        assert length == len(want)
+        for at in range(0, length, language_model.STRIDE):
+            before = line[max(0, at - language_model.CONTEXT) : at]
+            part = line[at : at + language_model.STRIDE]
+            pad = [language_model.PAD] * (language_model.CONTEXT - len(before))
+            assert inputs[row].tolist() == pad + before + part + [language_model.PAD] * (language_model.STRIDE - len(part))
+            goal = want[at : at + language_model.STRIDE]
+            assert goals[row].tolist() == goal + [-1] * (language_model.STRIDE - len(goal))
+            row += 1
+    assert row == len(inputs)
+
+
+def spans(encoder, word):
+    found = encoder.encode(set(encoder.pieces(word.decode())))
+    return [i for p in encoder.pieces(word.decode()) for i in found[p]]
+
+
+def fit_model(spark, docs):
+    """(model, counts by word) of the training texts, and the encoder."""
+    text = open(VOCABULARY, encoding="utf-8").read()
+    encoder = language_model.MergeEncoder(text)
+    training = docs.select("doc_id", "text").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 1)
+    counts = language_model.word_counts(training).persist()
+    by_word = {r["word"].encode(): r["c"] for r in counts.collect()}
+    top = [w for w, _ in sorted(by_word.items(), key=lambda x: (-x[1], x[0])) if w]
+    model = language_model.fitted(
+        training, counts, top, encoder, VOCABULARY, spark.sparkContext.broadcast(text), sum(by_word.values()), by_word.get(b"", 0)
     )
-    got = language_model._company_counts(lines, place).to_pylist()
-    assert {divmod(r["key"], language_model.COMPANY): r["n"] for r in got} == dict(want)
-    for ids in texts:
-        found = language_model.windows_of(ids, 0, size)
-        line = [0, *ids.tolist()]
-        for k, window in enumerate(found.tolist()):
-            part = line[k * language_model.STRIDE :][: language_model.WINDOW + 1]
-            assert window == part + [size] * (language_model.WINDOW + 1 - len(part))
-        assert (len(found) - 1) * language_model.STRIDE + language_model.WINDOW >= len(ids)
+    return model, by_word, encoder
+
+
+def plain_score(model, counts, encoder, words):
+    """The log10 probability of a text, word by word, without windows in batches."""
+    vector = lambda w: model.embedding[spans(encoder, w)].mean(axis=0) if spans(encoder, w) else np.zeros(language_model.WIDTH)
+    x = [np.zeros(language_model.WIDTH), *map(vector, words)]
+    total = 0.0
+    for i in range(len(words) + 1):
+        begin = max(0, i // language_model.STRIDE * language_model.STRIDE - language_model.CONTEXT)
+        seen = np.array(x[begin : i + 1], float)
+        back = i - np.arange(begin, i + 1)
+        w = {k: v.astype(float) for k, v in model.weights.items()}
+        a = np.exp(seen @ w["k"] @ (x[i] @ w["q"]) / math.sqrt(language_model.WIDTH) + w["near"][back])
+        logits = x[i] @ w["d"] + (a / a.sum()) @ seen @ w["v"] @ w["o"] + w["b"]
+        word = words[i] if i < len(words) else b""
+        kind = model.single.get(word)
+        if kind is None:
+            kind = language_model.SINGLE + int(np.argmax(np.float32(x[i + 1]) @ model.centres.T))
+        total += logits[kind] - math.log(np.exp(logits).sum())
+        if word in counts:
+            total += math.log((counts[word] - (model.discount if kind >= language_model.SINGLE else 0)) / model.totals[kind])
+        else:
+            total += math.log(model.discount * model.kinds_of_words[kind] / model.totals[kind])
+            ids, before = [*spans(encoder, word), len(model.counts)], kind
+            for i_ in ids:
+                total += float(model.spelling[before, i_])
+                before = model.kind_of[min(i_, len(model.counts) - 1)]
+            exact = b"".join(model.tokens[i_] for i_ in ids[:-1]) == word
+            total += math.log(model.exact) if exact else math.log(1 - model.exact) - (len(word) + 1) * math.log(257)
+    return total / math.log(10)
+
+
+def test_scores_equal_the_model_word_by_word(spark):
+    docs = documents(spark)
+    model, counts, encoder = fit_model(spark, docs)
+    got = {}
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    for r in language_model.language_scores(docs, VOCABULARY).collect():
+        got.setdefault(r["doc_id"], set()).add(round(r["score"], 2))
+    short = [(i, t) for i, t in rows if len(t or "") < 2000]
+    for doc_id, text in short:
+        want = plain_score(model, counts, encoder, [w.encode().lower() for w in words(text)])
+        assert any(abs(want - s) < 0.05 for s in got[doc_id]), (doc_id, want, got[doc_id])
+
+
+def test_shares_of_a_class_add_up_to_one(spark):
+    model, counts, encoder = fit_model(spark, documents(spark))
+    by_class = {}
+    for word, c in counts.items():
+        ids = np.array(spans(encoder, word), np.int64)
+        kind = int(model.classes([word], model.vectors(ids, np.array([len(ids)])))[0])
+        by_class.setdefault(kind, []).append(c)
+    for kind, c in by_class.items():
+        known = np.exp(model.known(np.array(c), np.full(len(c), kind))).sum()
+        left = 0 if kind < language_model.SINGLE else model.discount * model.kinds_of_words[kind] / model.totals[kind]
+        assert known + left == pytest.approx(1)
+    assert np.exp(model.spelling.astype(float)).sum(axis=1) == pytest.approx(np.ones(len(model.spelling)))
+
+
+def test_company_covers_all_training_words(spark):
+    rng = np.random.default_rng(3)
+    names = [f"word{i} it's"[: rng.integers(2, 9)] for i in range(60)]
+    texts = [" ".join(rng.choice(names, n)) for n in [1, 5, 64, 65, 300, 3000]]
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    text = open(VOCABULARY, encoding="utf-8").read()
+    encoder = language_model.MergeEncoder(text)
+    ids, times, sums = language_model._id_company(docs, VOCABULARY, spark.sparkContext.broadcast(text), encoder.size, 2)
+    directions = np.random.default_rng(11).normal(size=(encoder.size + 1, language_model.DIRECTIONS))
+    want, seen = {}, Counter()
+    for t in texts:
+        line = [w.encode() for w in t.split()]
+        for at in range(0, len(line), language_model.STRETCH):
+            part = [spans(encoder, w) for w in line[at : at + language_model.STRETCH]]
+            whole = sum(directions[p[0]] for p in part)
+            for p in part:
+                for i in p:
+                    want[i] = want.get(i, 0) + (whole - directions[p[0]]) / max(1, len(part) - 1)
+                    seen[i] += 1
+    assert dict(zip(ids.tolist(), times.tolist())) == dict(seen)
+    assert sums == pytest.approx(np.array([want[i] for i in ids.tolist()]), abs=1e-2)
 
 
 def test_rare_toxic_words_vote(spark):
