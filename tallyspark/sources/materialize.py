@@ -31,12 +31,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", compression: str = "snappy") -> DataFrame:
     """Write ``df`` once as Parquet and return a frame that reads it.
 
     Use it where a result is read several times. Unlike a cache it survives lost
     executors, and later readers still get column pruning and filter pushdown.
     """
     path = new_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
