@@ -114,6 +114,10 @@ class MergeEncoder(PieceEncoder):
         ranks = {as_bytes(t): i for t, i in self.vocab.items()}
         self._merge = tiktoken.Encoding("pieces", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})
 
+    def piece_ids(self, piece: bytes) -> list[int]:
+        """The ids of one piece, normalized already."""
+        return self._merge._core_bpe.encode_single_piece(piece + END_BYTE)
+
     def _encode_plain(self, pieces: list[str]) -> Iterable[tuple[str, tuple[int, ...]]]:
         merge = self._merge._encode_single_piece
         return ((p, tuple(merge(p.encode() + END_BYTE))) for p in pieces)
