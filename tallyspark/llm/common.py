@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..sources.materialize import materialize
 
-__all__ = ["as_table", "forget", "materialize", "on_worker", "remainder", "rows_of", "ship_package", "text_slices"]
+__all__ = ["as_table", "forget", "kept_rows", "materialize", "on_worker", "remainder", "rows_of", "ship_package", "text_slices"]
 
 _state: dict[str, object] = {}
 _shipped: set[str] = set()
@@ -81,3 +81,19 @@ def as_table(schema: pa.Schema, columns: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema
     )
 
+
+def kept_rows(docs: DataFrame, text_col: str, good: Callable[[list[str | None]], list[bool]], chunk: int = 256) -> DataFrame:
+    """The rows of ``docs`` whose texts are ``good``, all columns as they are.
+
+    Rows pass through the tasks batch by batch; only ``chunk`` texts at a time become Python strings.
+    """
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            for start in range(0, batch.num_rows, chunk):
+                part = batch.slice(start, chunk)
+                yield part.filter(pa.array(good(part.column(place).cast(pa.string()).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

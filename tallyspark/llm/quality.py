@@ -20,10 +20,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, materialize, remainder, rows_of
+from .common import as_table, forget, kept_rows, materialize, remainder, rows_of
 from .labelled import labelled_sample
 
 SAMPLE = 20_000
@@ -215,6 +215,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for keys, texts in rows_of(batches, "doc_id", "text"):
             yield as_table(schema, [keys, [text_features(t) for t in texts]])
 
@@ -222,11 +223,15 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return thin.mapInArrow(measure, "doc_id long, x array<double>")
 
 
-def fit_on(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int = SAMPLE) -> AdditiveModel:
-    """The model of at most ``sample`` labelled rows that are not held out."""
-    known = labelled_sample(labels, "quality", DIVISOR, HELD_OUT, sample, id_col)
-    rows = measured.join(known, "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").select("x", "y").collect()
-    return fit(np.array([r["x"] for r in rows], float).reshape(-1, len(FEATURES)), np.array([r["y"] for r in rows], float))
+def fit_on(measured: DataFrame, known: DataFrame) -> AdditiveModel:
+    """The model of labelled rows; of an id that repeats, the row of the least features counts."""
+    rows = measured.join(F.broadcast(known), "doc_id").groupBy("doc_id", "y").agg(F.min("x").alias("x"))  # a bounded sample
+    found = rows.orderBy("doc_id").select("x", "y").collect()
+    return fit(np.array([r["x"] for r in found], float).reshape(-1, len(FEATURES)), np.array([r["y"] for r in found], float))
+
+
+def _sample(labels: DataFrame, id_col: str) -> DataFrame:
+    return labelled_sample(labels, "quality", DIVISOR, HELD_OUT, SAMPLE, id_col)
 
 
 def _scored(x: pd.Series, model: AdditiveModel) -> pd.Series:
@@ -236,7 +241,7 @@ def _scored(x: pd.Series, model: AdditiveModel) -> pd.Series:
 def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per document; a high score is good."""
     measured = materialize(features(docs, id_col, text_col), "features")
-    model = docs.sparkSession.sparkContext.broadcast(fit_on(measured, labels, id_col))  # a few thousand numbers
+    model = docs.sparkSession.sparkContext.broadcast(fit_on(measured, _sample(labels, id_col)))  # a few thousand numbers
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
@@ -250,12 +255,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     )
 
 
-def keeps(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """Whether a row's text scores at least the threshold, as a column of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(fit_on(features(docs, id_col, text_col), labels, id_col))
+def good_rows(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose texts score at least the threshold.
+
+    Only the labelled sample is measured to fit the model; then every text is measured once.
+    """
+    known = _sample(labels, id_col)
+    own = docs.join(F.broadcast(known.select(F.col("doc_id").alias("__known"))), F.col(id_col).cast("long") == F.col("__known"), "left_semi")
+    model = docs.sparkSession.sparkContext.broadcast(fit_on(features(own, id_col, text_col), known))
 
-    @F.pandas_udf("boolean")
-    def good(text: pd.Series) -> pd.Series:
-        return pd.Series(model.value.score(np.array([text_features(t) for t in text])) >= THRESHOLD)
+    def good(texts: list[str | None]) -> list[bool]:
+        return (model.value.score(np.array([text_features(t) for t in texts]).reshape(-1, len(FEATURES))) >= THRESHOLD).tolist()
 
-    return good(F.col(text_col).cast("string"))
+    return kept_rows(docs, text_col, good)

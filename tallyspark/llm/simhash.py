@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, materialize, rows_of, text_slices
+from .common import as_table, forget, materialize, rows_of, text_slices
 from .components import connected_components
 
 SEED = 42
@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fingerprint): the fingerprint's bits as a long."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for keys, texts in rows_of(batches, "doc_id", "text"):
             prints = np.array([fingerprint(t or "") for t in texts], np.uint64).astype(np.int64)
             yield as_table(_FINGERPRINTS, [keys, prints])

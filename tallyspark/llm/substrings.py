@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, materialize, rows_of, text_slices
+from .common import as_table, forget, materialize, rows_of, text_slices
 
 WINDOW = 13
 BATCH_BYTES = 1 << 20
@@ -135,6 +135,7 @@ def _anchors(docs: DataFrame, window: int, base: int) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("doc_id", pa.int64())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for keys, texts in rows_of(batches, "doc_id", "text"):
             ids = np.array(keys, np.int64)
             for rows, passage in passages(keys, texts, window - 1):
@@ -156,6 +157,7 @@ def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("check", pa.int32()), ("doc_id", pa.int64()), ("asks", pa.bool_())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, materialize, remainder, rows_of
+from .common import as_table, forget, kept_rows, materialize, remainder, rows_of
 from .labelled import labelled_sample
 
 SAMPLE = 20_000
@@ -43,6 +43,8 @@ ERRORS = 1.96
 # a voter's share of toxic rows, weighing both classes alike
 PRECISION = 0.998
 WHOLE = "$"
+# patterns a task counts before it passes the counts on
+HELD_PATTERNS = 100_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -231,9 +233,13 @@ def _document_counts(rows: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
-        for (texts,) in rows_of(batches, "text"):
+        forget()
+        for (texts,) in rows_of(batches, "text", chunk=32):
             for text in texts:
                 total.update(_patterns(text or ""))
+            if len(total) > HELD_PATTERNS:
+                yield as_table(schema, [list(total), list(total.values())])
+                total.clear()
         yield as_table(schema, [list(total), list(total.values())])
 
     return rows.mapInArrow(count, "pattern string, rows long").groupBy("pattern").agg(F.sum("rows").alias("rows"))
@@ -273,6 +279,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
     )
 
 
-def keeps(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """Whether a row's text scores below the threshold, as a column of ``docs``."""
-    return _score_column(docs, fit(docs, labels, id_col, text_col), text_col) < THRESHOLD
+def clean_rows(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose texts score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
+    return kept_rows(docs, text_col, lambda texts: (shared.value.score(texts) < THRESHOLD).tolist())
