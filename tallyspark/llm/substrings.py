@@ -7,7 +7,7 @@ repeated ones are extended to twice that length, up to ``window``, and counted a
 short windows in a long one, the one with the least hash stands for it, the same in every
 document, so a fraction of the short windows is counted.
 
-Windows are 64-bit hashes of their words, and 96 bits at the last level. Copies of a whole
+Windows are 64-bit hashes of their words' hashes, and 96 bits at the last level. Copies of a whole
 text are found by its digest; they need no windows.
 
 Nulls: a null text is empty. A row with a null id loses nothing and takes nothing away.
@@ -31,29 +31,57 @@ from .common import as_table, forget, materialize, rows_of, text_slices
 WINDOW = 13
 BATCH_BYTES = 1 << 20
 
-_ODD = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+# hashes of words are polynomials modulo a prime, so that no two words collide for every base
+_PRIME = (1 << 31) - 1
+_BASES = (0x2545F491, 0x5851F42D)
+# a window's hash mixes those of its halves; the second row is for the check
+_MIX = (
+    (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93),
+    (0xD1342543DE82EF95, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB),
+)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime, which may itself stand for zero; ``x`` is changed."""
+    for _ in range(2):
+        high = x >> np.uint64(31)
+        x &= np.uint64(_PRIME)
+        x += high
+    return x
 
 
 class _Powers:
-    """Powers of an odd number and of its inverse modulo 2^64, as far as texts need them."""
+    """Powers of a base and of its inverse modulo the prime, as far as texts need them."""
 
-    def __init__(self, odd: int):
-        self.steps = np.uint64(odd), np.uint64(pow(odd, -1, 1 << 64))
+    def __init__(self, base: int):
+        self.steps = base, pow(base, -1, _PRIME)
         # one random number for each byte
-        self.bytes = np.random.default_rng(odd).integers(1, 1 << 63, 256, np.uint64)
+        self.bytes = np.random.default_rng(base).integers(1, _PRIME, 256, np.uint64)
         self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
     def upto(self, count: int) -> list[np.ndarray]:
-        if len(self.tables[0]) < count:
-            size = max(count, BATCH_BYTES + (BATCH_BYTES >> 1))
+        while len(self.tables[0]) < count:
             for i, step in enumerate(self.steps):
-                self.tables[i] = np.cumprod(np.r_[np.uint64(1), np.full(size, step)])
+                known = self.tables[i]
+                self.tables[i] = np.concatenate([known, _folded(known * np.uint64(pow(step, len(known), _PRIME)))])
         return self.tables
 
 
 @lru_cache(maxsize=None)
 def _powers(which: int) -> _Powers:
-    return _Powers(_ODD[which])
+    return _Powers(_BASES[which])
+
+
+def _mixed(a: np.ndarray, b: np.ndarray, which: int) -> np.ndarray:
+    """A hash of two hashes in order, which is no polynomial of them."""
+    k, m, n = (np.uint64(x) for x in _MIX[which])
+    h = a * k
+    h ^= (b << np.uint64(29)) | (b >> np.uint64(35))
+    h *= m
+    h ^= h >> np.uint64(32)
+    h *= n
+    h ^= h >> np.uint64(29)
+    return h
 
 
 class Passage:
@@ -70,21 +98,39 @@ class Passage:
         blanks = np.flatnonzero(self.bytes == 32)
         self.starts = np.r_[0, blanks + 1] if data else np.zeros(0, np.int64)
         self.ends = np.r_[blanks, len(data)] if data else np.zeros(0, np.int64)
-        self._prefix: dict[int, np.ndarray] = {}
+        self._words: np.ndarray | None = None
+
+    def words(self) -> np.ndarray:
+        """The hash of each word, of 62 bits."""
+        if self._words is None:
+            found = np.zeros(len(self.starts), np.uint64)
+            for which in range(2):
+                powers = _powers(which)
+                forth, back = powers.upto(len(self.bytes) + 1)
+                terms = powers.bytes[self.bytes]
+                terms *= forth[: len(self.bytes)]
+                prefix = np.r_[np.uint64(0), np.cumsum(_folded(terms))]  # below 2^31 times the bytes
+                own = _folded(prefix[self.ends] - prefix[self.starts])
+                own = _folded(own * back[self.starts])
+                own[own == _PRIME] = 0
+                found = found << np.uint64(31) | own
+            self._words = found
+        return self._words
 
     def hashes(self, words: int, which: int = 0) -> np.ndarray:
-        """The hash of each window of so many words, those across segments included."""
-        count = max(0, len(self.starts) - words + 1)
-        powers = _powers(which)
-        forth, back = powers.upto(len(self.bytes) + 1)
-        if which not in self._prefix:
-            terms = powers.bytes[self.bytes] * forth[: len(self.bytes)]
-            self._prefix[which] = np.r_[np.uint64(0), np.cumsum(terms)]
-        prefix, starts = self._prefix[which], self.starts[:count]
-        h = (prefix[self.ends[words - 1 :][:count]] - prefix[starts]) * back[starts]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
+        """The hash of each window of so many words, those across segments included.
+
+        Windows are doubled from one word on; the last two halves may overlap.
+        """
+        h = self.words()
+        if words > len(h):
+            return h[:0]
+        h = _mixed(h, np.full(1, words, np.uint64), which)
+        reach = 1
+        while reach < words:
+            step = min(reach, words - reach)
+            h = _mixed(h[:-step], h[step:], which)
+            reach += step
         return h
 
     def inside(self, words: int) -> np.ndarray:

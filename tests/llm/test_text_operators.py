@@ -214,3 +214,27 @@ def test_each_component_keeps_one_row(spark):
     got = simhash.representatives(frame).collect()
     want = [(3, y), (5, x), (9, "last words here now"), (None, z)]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def thue_morse(size, first, second):
+    return "".join((first, second)[i.bit_count() % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096, 1 << 16])
+def test_words_that_collide_as_polynomials_of_a_power_of_two(spark, size):
+    twelve = " ".join(f"w{i}" for i in range(12))
+    a, b = thue_morse(size, "x", "y"), thue_morse(size, "y", "x")
+    docs = spark.createDataFrame([(1, f"{twelve} {a} one"), (2, f"{twelve} {b} two"), (3, f"{twelve} {a} three")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substrings.without_repeats(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 13}
+
+
+@given(st.lists(st.text("ab", min_size=1, max_size=4), min_size=1, max_size=40), st.integers(1, 14))
+@settings(max_examples=200, deadline=None)
+def test_window_hashes_tell_windows_apart(words_, size):
+    passage = substrings.Passage([[w.encode() for w in words_]])
+    windows = [tuple(words_[i : i + size]) for i in range(max(0, len(words_) - size + 1))]
+    for which in (0, 1):
+        hashes = passage.hashes(size, which).tolist()
+        assert len(hashes) == len(windows)
+        assert len(set(zip(windows, hashes))) == len(set(windows)) == len(set(hashes))
