@@ -7,13 +7,12 @@ is left is packed into sequences. Each stage works on all that the one before it
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.llm import packing, quality, simhash, substrings, toxicity
 from tallyspark.llm.common import materialize, ship_package
-from tallyspark.llm.queries import VOCABULARY
+from tallyspark.llm.queries import VOCABULARY, public_tokenizers
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +21,11 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.filter(quality.keeps(docs, _labels(spark, sf_dir)))
+    return quality.good_rows(docs, _labels(spark, sf_dir))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.filter(toxicity.keeps(docs, _labels(spark, sf_dir)))
+    return toxicity.clean_rows(docs, _labels(spark, sf_dir))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
