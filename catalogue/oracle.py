@@ -179,22 +179,28 @@ def _forecast(daily: str, keys: str, day: str) -> dict[str, str]:
     group = f"GROUP BY {keys}" if keys else "HAVING COUNT(*) > 0"
     return {
         "f0": f"SELECT * FROM {daily} WHERE usage_date BETWEEN date_trunc('month', {day}) AND {day}",
-        "f1": f"""SELECT *, CAST(day(usage_date) AS DOUBLE) AS d,
-                  CAST(SUM(cost_usd_day) OVER ({part}ORDER BY usage_date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cumulative FROM f0""",
-        "f2": f"""SELECT {select}COUNT(DISTINCT usage_date) AS days_observed, SUM(cost_usd_day) AS total_so_far,
-                  CASE WHEN COUNT(DISTINCT d) >= 2 THEN regr_slope(cumulative, d) END AS trend_slope_per_day,
-                  CASE WHEN COUNT(DISTINCT d) >= 2 THEN regr_intercept(cumulative, d) END AS trend_intercept,
+        "f1": f"""SELECT *, CAST(day(usage_date) AS DECIMAL(9,0)) AS d,
+                  CAST(SUM(cost_usd_day) OVER ({part}ORDER BY usage_date RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(27,4)) AS cumulative FROM f0""",
+        "f2": f"""SELECT {select}COUNT(DISTINCT usage_date) AS days_observed, SUM(cost_usd_day) AS total_so_far, COUNT(*) AS n,
+                  CAST(SUM(d) AS BIGINT) AS sx, CAST(SUM(d * d) AS BIGINT) AS sxx, CAST(SUM(cumulative) AS DECIMAL(27,4)) AS sy,
+                  CAST(SUM(CAST(cumulative AS DECIMAL(25,4)) * d) AS DECIMAL(27,4)) AS sxy,
                   CAST(day(last_day({day})) AS BIGINT) AS days_in_month FROM f1 {group}""",
+        "f3": f"""SELECT *, n * sxx - sx * sx AS spread, CAST(n AS DECIMAL(9,0)) * sxy - CAST(sx AS DECIMAL(9,0)) * sy AS rise,
+                  CAST(sxx AS DECIMAL(9,0)) * sy - CAST(sx AS DECIMAL(9,0)) * sxy AS base FROM f2""",
+        "f4": f"""SELECT *, CASE WHEN spread > 0 THEN CAST(CAST(rise AS VARCHAR) AS DOUBLE) / spread END AS trend_slope_per_day,
+                  CASE WHEN spread > 0 THEN CAST(CAST(base AS VARCHAR) AS DOUBLE) / spread END AS trend_intercept FROM f3""",
         "fitted": f"""SELECT {select}days_observed, CAST(total_so_far AS DOUBLE) AS total_so_far, trend_slope_per_day, trend_intercept, days_in_month,
                   CAST(total_so_far AS DOUBLE) / days_observed AS run_rate_per_day,
                   CAST(total_so_far AS DOUBLE) / days_observed * days_in_month AS run_rate_month_end_projection,
                   CASE WHEN days_observed >= 2 THEN trend_intercept + trend_slope_per_day * days_in_month END AS trend_month_end_projection,
-                  'ok' AS status, CASE WHEN days_observed >= 7 THEN 'high' WHEN days_observed >= 3 THEN 'medium' ELSE 'low' END AS confidence FROM f2""",
+                  'ok' AS status, CASE WHEN days_observed >= 7 THEN 'high' WHEN days_observed >= 3 THEN 'medium' ELSE 'low' END AS confidence FROM f4""",
     }
 
 
-_FITTED = """days_observed, total_so_far, round(trend_slope_per_day + 0.000173205e0, 3) AS trend_slope_per_day, round(trend_intercept + 0.000173205e0, 3) AS trend_intercept,
-    days_in_month, run_rate_per_day, run_rate_month_end_projection, round(trend_month_end_projection + 0.000173205e0, 3) AS trend_month_end_projection, status, confidence"""
+_FITTED = """days_observed, total_so_far, trend_slope_per_day, trend_intercept, days_in_month, run_rate_per_day,
+    run_rate_month_end_projection, trend_month_end_projection, status, confidence"""
+# a double rounded half up by its shortest text
+_CUMULATIVE = "CAST(CAST(CAST(CAST(run_rate_per_day * d.day AS VARCHAR) AS DECIMAL(38,10)) AS VARCHAR) AS DOUBLE)"
 
 
 def _native(day: str) -> str:
@@ -375,14 +381,14 @@ ORACLE: dict[str, str] = {
         **_forecast("daily_actuals", "source", COST_DAY),
     ),
     "forecast_series": sql(
-        """SELECT source, CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.00173205e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed
+        f"""SELECT source, CAST(d.day AS BIGINT) AS day, {_CUMULATIVE} AS cumulative_cost_usd, d.day <= days_observed AS observed
            FROM fitted JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month""",
         "service_actuals",
         **_forecast("service_actuals", "source", COST_DAY),
     ),
     "forecast_method_compare": sql(
-        """SELECT f.source, CAST(d.day AS BIGINT) AS day, o.cumulative AS observed_cost_usd, round(run_rate_per_day * d.day + 0.000173205e0, 3) AS run_rate_cost_usd,
-           round(trend_intercept + trend_slope_per_day * d.day + 0.000173205e0, 3) AS trend_cost_usd
+        """SELECT f.source, CAST(d.day AS BIGINT) AS day, CAST(o.cumulative AS DOUBLE) AS observed_cost_usd, run_rate_per_day * d.day AS run_rate_cost_usd,
+           trend_intercept + trend_slope_per_day * d.day AS trend_cost_usd
            FROM fitted f JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month
            LEFT JOIN (SELECT source, cumulative, row_number() OVER (PARTITION BY source ORDER BY usage_date) AS day FROM f1) o ON o.source = f.source AND o.day = d.day""",
         "service_actuals",
@@ -603,7 +609,7 @@ ORACLE: dict[str, str] = {
         "counted",
     ),
     "overview_forecast": sql(
-        """SELECT CAST(d.day AS BIGINT) AS day, round(run_rate_per_day * d.day + 0.00173205e0, 2) AS cumulative_cost_usd, d.day <= days_observed AS observed,
+        f"""SELECT CAST(d.day AS BIGINT) AS day, {_CUMULATIVE} AS cumulative_cost_usd, d.day <= days_observed AS observed,
            (SELECT COUNT(*) FROM records) AS total_records FROM fitted JOIN (SELECT unnest(range(1, 32)) AS day) d ON d.day <= days_in_month WHERE source = 'aws'""",
         "daily_actuals",
         **_forecast("daily_actuals", "source", COST_DAY),

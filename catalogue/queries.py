@@ -217,17 +217,6 @@ def _by_service(spark, sf):
     return v.cost_records(spark, sf).withColumn("source", F.col("service"))
 
 
-def _steady(column: str, digits: int) -> Column:
-    """Rounded off the decimal grid, so that no exact tie hangs on the last bit of a double."""
-    return F.round(F.col(column) + 0.173205 / 10**digits, digits).alias(column)
-
-
-def _rounded(forecast: DataFrame) -> DataFrame:
-    """Fitted columns rounded: engines add up the regression sums in different orders."""
-    fitted = [c for c in ("trend_slope_per_day", "trend_intercept", "trend_month_end_projection") if c in forecast.columns]
-    return forecast.withColumns({c: _steady(c, 3) for c in fitted})
-
-
 @query
 def daily_cost_actuals(spark, sf):
     return fc.daily_cost_actuals(v.usage_events(spark, sf))
@@ -246,17 +235,17 @@ def cumulative_cost_ties(spark, sf):
 
 @query
 def forecast_by_source(spark, sf):
-    return _rounded(fc.month_end_forecast(v.usage_events(spark, sf), v.COST_AS_OF))
+    return fc.month_end_forecast(v.usage_events(spark, sf), v.COST_AS_OF)
 
 
 @query
 def forecast_by_group(spark, sf):
-    return _rounded(fc.month_end_forecast(_by_service(spark, sf), v.COST_AS_OF))
+    return fc.month_end_forecast(_by_service(spark, sf), v.COST_AS_OF)
 
 
 @query
 def forecast_combined(spark, sf):
-    return _rounded(fc.month_end_forecast(v.usage_events(spark, sf), v.COST_AS_OF, group_cols=[]))
+    return fc.month_end_forecast(v.usage_events(spark, sf), v.COST_AS_OF, group_cols=[])
 
 
 @query
@@ -271,21 +260,20 @@ def forecast_native_units(spark, sf):
 def forecast_reconciled(spark, sf):
     events = v.usage_events(spark, sf)
     aws = fc.month_end_forecast(events, v.COST_AS_OF).filter(F.col("source") == fv.AWS)
-    return _rounded(fc.reconcile_with_aws_native_forecast(aws, events))
+    return fc.reconcile_with_aws_native_forecast(aws, events)
 
 
 @query
 def forecast_series(spark, sf):
     forecast = fc.month_end_forecast(_by_service(spark, sf), v.COST_AS_OF)
-    return fc.forecast_series(forecast).select("source", "day", _steady("cumulative_cost_usd", 2), "observed")
+    return fc.forecast_series(forecast).select("source", "day", "cumulative_cost_usd", "observed")
 
 
 @query
 def forecast_method_compare(spark, sf):
     records = _by_service(spark, sf)
     month = fc.daily_cost_actuals(records).filter(F.col("usage_date").between(F.lit(date(1998, 5, 1)), F.lit(v.COST_AS_OF)))
-    series = fc.forecast_method_series(fc.month_end_forecast(records, v.COST_AS_OF), fc.cumulative_cost(month))
-    return series.withColumns({c: _steady(c, 3) for c in ("run_rate_cost_usd", "trend_cost_usd")})
+    return fc.forecast_method_series(fc.month_end_forecast(records, v.COST_AS_OF), fc.cumulative_cost(month))
 
 
 @query
@@ -569,7 +557,7 @@ def overview_forecast(spark, sf):
     )
     series = parts["forecast_preview"]
     return series.crossJoin(F.broadcast(parts["total_records"])).select(
-        "day", _steady("cumulative_cost_usd", 2), "observed", "total_records"
+        "day", "cumulative_cost_usd", "observed", "total_records"
     )
 
 
