@@ -492,6 +492,26 @@ ORACLE: dict[str, str] = {
         judged AS (SELECT *, n = 1 AND kinds = 2 AND val > low AS above FROM grouped)
         SELECT CAST(grp AS INT) AS grp, val, CASE WHEN total <= 5 THEN 'insufficient_baseline' WHEN above THEN 'anomaly' ELSE 'normal' END AS status,
                above AS infinite, n FROM judged""",
+    # leave-one-out by hand: whole thousandths give the others' exact sums
+    "anomaly_extreme_double": """
+        WITH v AS (
+            SELECT event_id, CAST(event_id % 5 AS INT) AS grp, event_id < 5 AS is_far, event_id >= 5 AND event_id % 1000 = 0 AS odd,
+                   1000 + event_id % 97 AS milli, [1e4, 1e6, 1e8, 1e10, 1e12][event_id % 5 + 1] AS far
+            FROM events
+        ), g AS (
+            SELECT grp, COUNT(*) FILTER (NOT odd) AS n, COUNT(*) FILTER (NOT odd AND NOT is_far) AS others,
+                   CAST(SUM(milli) FILTER (NOT odd AND NOT is_far) AS BIGINT) AS s,
+                   CAST(SUM(milli * milli) FILTER (NOT odd AND NOT is_far) AS BIGINT) AS q
+            FROM v GROUP BY grp
+        ), scored AS (
+            SELECT v.grp, n, is_far, odd, far, s / others / 1000e0 AS mean,
+                   sqrt(CAST(others * q - s * s AS DOUBLE)) / others / 1000e0 AS stddev FROM v JOIN g USING (grp)
+        ) SELECT grp, CASE WHEN odd THEN 'no_value' WHEN n <= 5 THEN 'insufficient_baseline' WHEN is_far THEN 'anomaly' ELSE 'normal' END AS status,
+                 CASE WHEN NOT odd THEN n - 1 END AS group_n_other,
+                 CASE WHEN is_far THEN format('{:.9e}', far) END AS far, CASE WHEN is_far AND n > 5 THEN format('{:.9e}', mean) END AS mean,
+                 CASE WHEN is_far AND n > 5 THEN format('{:.9e}', stddev) END AS stddev,
+                 CASE WHEN is_far AND n > 5 THEN format('{:.9e}', (far - mean) / stddev) END AS z, COUNT(*) AS n
+          FROM scored GROUP BY ALL""",
     "normalize_metering": sql(
         f"""SELECT 'snowflake' AS source, 'warehouse_metering_hour' AS resource_type, warehouse || '::' || strftime(started, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS resource_id,
             warehouse AS account_identifier, CAST(CAST(started AS DATE) AS VARCHAR) AS usage_date, {_stamp('started')} AS period_start, {_stamp('started + to_hours(1)')} AS period_end,

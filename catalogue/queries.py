@@ -139,6 +139,22 @@ def anomaly_flat_double(spark, sf):
     )
 
 
+@query
+def anomaly_extreme_double(spark, sf):
+    """Doubles beside a value up to 10^12 times as large, and values that are not finite; scores to nine digits."""
+    scored = an.detect_anomalies(v.extreme_doubles(spark, sf), group_cols=["grp"], value_col="val")
+    digits = lambda c: F.format_string("%.9e", F.col(c))
+    return scored.groupBy(
+        "grp",
+        "status",
+        "group_n_other",
+        F.when((F.col("val") >= 1000) & (F.col("status") != "no_value"), digits("val")).alias("far"),
+        F.when(F.col("anomaly"), digits("baseline_mean")).alias("mean"),
+        F.when(F.col("anomaly"), digits("baseline_stddev")).alias("stddev"),
+        F.when(F.col("anomaly"), digits("z_score")).alias("z"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def anomaly_query_duration_window(spark, sf):
     scored = _query_scores(spark, sf, form="window")

@@ -208,6 +208,21 @@ def query_history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def extreme_doubles(spark: SparkSession, sf: str) -> DataFrame:
+    """Event values near 1 in groups of their own spread, with one event in each far above them, and odd ones.
+
+    The far value is 10^4, 10^6 and so on up to 10^12; every 1,000th event is not a number or is infinite.
+    """
+    events = table(spark, sf, "events")
+    key, grp = F.col("event_id"), F.pmod(F.col("event_id"), F.lit(5)).cast("int")
+    near = 1 + (key % 97) * 0.001
+    far = F.array(*[F.lit(10.0**e) for e in (4, 6, 8, 10, 12)]).getItem(grp)
+    odd = F.when(key % 2000 == 0, float("nan")).otherwise(float("inf"))
+    value = F.when(key < 5, far).when(key % 1000 == 0, odd).otherwise(near)
+    return events.select(key, grp.alias("grp"), value.alias("val"))
+
+
 @view
 def flat_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(grp, val): events by user group; its value is the same in all but the first event of odd groups."""

@@ -15,12 +15,17 @@ from ..fixed_values import (
     Z_THRESHOLD,
     ZERO_SPREAD,
 )
+from ..sources.materialize import materialize
 from .groups import BROADCAST_BYTES, GROUP_ROWS, HOT_PARTS, attach_group_stats
 
 SCORE_COLUMNS = ("group_n_other", "baseline_mean", "baseline_stddev", "z_score", "status", "anomaly")
 # of a decimal value column, and of any other
 _EXACT_STATS = ("__n", "__total", "__squares")
 _FLOAT_STATS = ("__n", "__mean", "__variance", "__low", "__high", "__marks")
+# the moments of a group without its highest or its lowest values
+_REST_STATS = ("__n_below", "__mean_below", "__variance_below", "__n_above", "__mean_above", "__variance_above")
+# an extreme value with all but this share of its group's variance hides the spread of the others
+_HIDDEN = 1e-3
 _MARK_BITS = (1 << 28) - 1
 
 
@@ -34,7 +39,9 @@ def _mark(number: Column) -> Column:
 
 
 def _number(value: Column) -> Column:
-    return value.cast("double") + F.lit(0.0)  # one zero, not two
+    """The value as a double; null where it is not finite."""
+    number = value.cast("double") + F.lit(0.0)  # one zero, not two
+    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
 def _group_measures(value: Column, exact: bool) -> dict[str, Column]:
@@ -47,12 +54,25 @@ def _group_measures(value: Column, exact: bool) -> dict[str, Column]:
     if exact:
         return dict(zip(_EXACT_STATS, [F.count(value), F.sum(value), F.sum(value * value)]))
     number = _number(value)
-    marks = F.sum(F.when(value.isNotNull(), _mark(number)))
+    marks = F.sum(F.when(number.isNotNull(), _mark(number)))
     return dict(
         zip(_FLOAT_STATS, [F.count(number), F.avg(number), F.var_pop(number), F.min(number), F.max(number), marks])
     )
 
 
+def _rest_measures(value: Column) -> dict[str, Column]:
+    """Moments of what is below the group's highest, and above its lowest value."""
+    number = _number(value)
+    below, above = F.when(number < F.col("__high"), number), F.when(number > F.col("__low"), number)
+    return dict(zip(_REST_STATS, [f(part) for part in (below, above) for f in (F.count, F.avg, F.var_pop)]))
+
+
+def _hides_others(n: Column, mean: Column, variance: Column, low: Column, high: Column) -> Column:
+    """Whether one of the extremes has nearly all of the variance."""
+    far = F.greatest(high - mean, mean - low)
+    return (n > 1) & (high > low) & (far * far * n / (n - 1) >= variance * n * (1 - _HIDDEN))
+
+
 def _exact_baseline(df: DataFrame, value: Column, columns: list[str]) -> DataFrame:
     others = F.when(value.isNotNull(), F.col("__n") - 1)
     mean = (F.col("__total") - value).cast("double") / others
@@ -76,23 +96,28 @@ def _float_baseline(df: DataFrame, value: Column, columns: list[str]) -> DataFra
     """Moments of the others from those of the group.
 
     Others that are all equal have their own value as mean and no spread, without rounding.
-    For a value whose distance swamps the spread of the others, the spread is the least
-    that the group's variance can still tell from none.
+    The only highest (or lowest) value of a group that has nearly all of its variance is not taken
+    out of moments that it dominates: the others have moments of their own.
     """
     number, n = _number(value), F.col("__n")
-    others = F.when(value.isNotNull(), n - 1)
+    others = F.when(number.isNotNull(), n - 1)
     away, total = number - F.col("__mean"), F.col("__variance") * n
     left = total - away * away * n / others
     # an extreme value's others can only all be equal at the other extreme
     level = F.when(number == F.col("__high"), F.col("__low")).when(number == F.col("__low"), F.col("__high"))
-    same = (F.col("__marks") - _mark(number) == others * _mark(level)) & (left <= total * 1e-3)
+    same = (F.col("__marks") - _mark(number) == others * _mark(level)) & (left <= total * _HIDDEN)
+    highest = (number == F.col("__high")) & (F.col("__n_below") == others)
+    lowest = (number == F.col("__low")) & (F.col("__n_above") == others)
+    mean = F.when(highest, F.col("__mean_below")).when(lowest, F.col("__mean_above")).otherwise(F.col("__mean") - away / others)
+    spread = F.greatest(left, total * 1e-16) / others
+    spread = F.when(highest, F.col("__variance_below")).when(lowest, F.col("__variance_above")).otherwise(spread)
     based = df.select(
         *columns,
         others.alias("group_n_other"),
         F.when(others > 0, F.coalesce(same, F.lit(False))).alias("__same"),
         level.alias("__level"),
-        (F.col("__mean") - away / others).alias("__others_mean"),
-        F.sqrt(F.greatest(left, total * 1e-16) / others).alias("__others_stddev"),
+        mean.alias("__others_mean"),
+        F.sqrt(spread).alias("__others_stddev"),
     )
     return based.select(
         *columns,
@@ -104,10 +129,10 @@ def _float_baseline(df: DataFrame, value: Column, columns: list[str]) -> DataFra
 
 def _scored(df: DataFrame, value: Column, exact: bool, z_threshold: float, min_group_size: int) -> DataFrame:
     """Score columns from the group measures next to each row. One projection per level."""
-    columns = [c for c in df.columns if c not in _EXACT_STATS + _FLOAT_STATS]
+    columns = [c for c in df.columns if c not in _EXACT_STATS + _FLOAT_STATS + _REST_STATS]
     spread = (_exact_baseline if exact else _float_baseline)(df, value, columns)
     mean, stddev = F.col("baseline_mean"), F.col("baseline_stddev")
-    number = value.cast("double")
+    number = value.cast("double") if exact else _number(value)
     z = F.when(
         F.col("group_n_other") >= min_group_size,
         F.when(stddev > ZERO_SPREAD, (number - mean) / stddev)
@@ -115,7 +140,7 @@ def _scored(df: DataFrame, value: Column, exact: bool, z_threshold: float, min_g
         .otherwise(F.lit(0.0)),
     )
     status = (
-        F.when(value.isNull(), "no_value")
+        F.when(number.isNull(), "no_value")
         .when(F.col("z_score").isNull(), "insufficient_baseline")
         .when(F.col("z_score") > z_threshold, "anomaly")
         .otherwise("normal")
@@ -125,6 +150,22 @@ def _scored(df: DataFrame, value: Column, exact: bool, z_threshold: float, min_g
     )
 
 
+def _with_rest(
+    df: DataFrame, stats: DataFrame, keys: list[str], value: Column, broadcast_bytes: int, hot_parts: int
+) -> DataFrame:
+    """``stats`` with the moments of the rest, in groups where an extreme value hides it."""
+    stats = materialize(stats, "group-moments")
+    hidden = stats.filter(_hides_others(*[F.col(c) for c in _FLOAT_STATS[:5]]))
+    bounds = hidden.select(*keys, "__low", "__high", GROUP_ROWS)  # rows of other groups fall out of the join
+    rows = attach_group_stats(df, bounds, keys, broadcast_bytes=broadcast_bytes, hot_parts=hot_parts)
+    rest = rows.groupBy(*keys).agg(*[m.alias(n) for n, m in _rest_measures(value).items()])
+    named = rest.withColumnsRenamed({k: f"__rest_{i}" for i, k in enumerate(keys)})
+    test = F.lit(True)
+    for i, k in enumerate(keys):
+        test = test & stats[k].eqNullSafe(named[f"__rest_{i}"])
+    return stats.join(named, test, "left").select(*stats.columns, *_REST_STATS)
+
+
 def detect_anomalies(
     df: DataFrame,
     *,
@@ -142,10 +183,13 @@ def detect_anomalies(
     A row is an anomaly when it lies more than ``z_threshold`` standard deviations above
     the mean of the others in its group (upper side only). With fewer than
     ``min_group_size`` others there is no score. Others without any spread give infinity
-    above their mean and 0 otherwise. A null value is ``no_value`` and counts for nobody.
+    above their mean and 0 otherwise. A null value, NaN or an infinite value is ``no_value``
+    and counts for nobody.
 
     ``form="aggregate"`` reads ``df`` twice (key and value columns first) but never
-    shuffles its wide rows when the statistics are small, and holds under any skew.
+    shuffles its wide rows when the statistics are small, and holds under any skew. For
+    doubles, groups with an extreme value that hides the spread of the others are measured
+    once more, without it.
     ``form="window"`` reads once and shuffles all of it, each group to one task; for small
     inputs and as an independent check. ``row_id_col`` is accepted for compatibility;
     every column is kept anyway.
@@ -154,9 +198,13 @@ def detect_anomalies(
     if form == "window":
         group = Window.partitionBy(*keys)
         with_stats = df.select("*", *[m.over(group).alias(n) for n, m in _group_measures(value, exact).items()])
+        if not exact:
+            with_stats = with_stats.select("*", *[m.over(group).alias(n) for n, m in _rest_measures(value).items()])
     elif form == "aggregate":
         measures = [m.alias(n) for n, m in _group_measures(value, exact).items()]
         stats = df.groupBy(*keys).agg(*measures, F.count(F.lit(1)).alias(GROUP_ROWS))
+        if not exact:
+            stats = _with_rest(df.select(*keys, value_col), stats, keys, value, broadcast_bytes, hot_parts)
         with_stats = attach_group_stats(df, stats, keys, broadcast_bytes=broadcast_bytes, hot_parts=hot_parts)
     else:
         raise ValueError("form must be 'aggregate' or 'window'")

@@ -133,3 +133,34 @@ def test_scores_in_doubles_against_direct_sums(spark):
         assert got[values[i]].z_score == pytest.approx((values[i] - 1e6 - mean) / stddev, rel=1e-5)
     pairs = scores(frame(spark, {"g": [1.0, 1.0, 3.0, 3.0, 9.0]}), min_group_size=3)
     assert [r.baseline_stddev for r in pairs if r.val == 9.0] == [pytest.approx(1.0)]
+
+
+def direct(values, at):
+    """Mean and population deviation of the others, by plain sums around their mean."""
+    others = [v for i, v in enumerate(values) if i != at and v is not None and math.isfinite(v)]
+    mean = math.fsum(others) / len(others)
+    return mean, math.sqrt(math.fsum((v - mean) ** 2 for v in others) / len(others))
+
+
+@pytest.mark.parametrize("far", [1e6, 1e9, 1e15, -1e9, 1.5])
+@pytest.mark.parametrize("options", [{}, {"form": "window"}, {"broadcast_bytes": 0, "hot_parts": 2}])
+def test_baselines_beside_an_extreme_value(spark, far, options):
+    near = [1.0 + 0.01 * k * (-1) ** k for k in range(9)]
+    groups = {"one": [*near, far], "twice": [*near, far, far], "both": [*near, far, -far], "flat": [2.5] * 8 + [far], "none": near}
+    rows = [(g, i, x) for g, values in groups.items() for i, x in enumerate(values)]
+    scored = an.detect_anomalies(spark.createDataFrame(rows, "grp string, i int, val double"), group_cols=["grp"], value_col="val", **options)
+    for r in scored.collect():
+        mean, stddev = direct(groups[r["grp"]], r["i"])
+        assert r["baseline_mean"] == pytest.approx(mean, rel=1e-9, abs=1e-12 * abs(far))
+        assert r["baseline_stddev"] == pytest.approx(stddev, rel=1e-9)
+
+
+@pytest.mark.parametrize("form", ["aggregate", "window"])
+def test_values_that_are_not_finite_are_no_values(spark, form):
+    values = [1.0, 1.1, 0.9, 1.0, 1.05, 0.95, 1.0, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([("g", i, x) for i, x in enumerate(values)], "grp string, i int, val double")
+    scored = {r["i"]: r for r in an.detect_anomalies(rows, group_cols=["grp"], value_col="val", form=form).collect()}
+    assert all(scored[i]["status"] == "no_value" and scored[i]["z_score"] is None for i in range(7, 11))
+    for i in range(7):
+        assert scored[i]["status"] == "normal" and scored[i]["group_n_other"] == 6
+        assert scored[i]["baseline_stddev"] == pytest.approx(direct(values, i)[1], rel=1e-9)
