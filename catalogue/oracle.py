@@ -653,7 +653,8 @@ ORACLE: dict[str, str] = {
         "by_source_date",
     ),
     "outputs_written": sql(
-        f"""SELECT 'spend_by_source_date' AS output_table, COUNT(*) AS n FROM by_source_date
+        f"""SELECT *, n AS record_count, '1998-05-20' AS run_date FROM (
+            SELECT 'spend_by_source_date' AS output_table, COUNT(*) AS n FROM by_source_date
             UNION ALL SELECT 'spend_by_attribution', COUNT(*) FROM by_attribution
             UNION ALL SELECT 'anomalies_snowflake_query_duration', COUNT(*) FROM query_rows
             UNION ALL SELECT 'anomalies_daily_cost_by_attribution', COUNT(*) FROM by_attribution
@@ -661,7 +662,7 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 'forecast_combined', 1
             UNION ALL SELECT 'forecast_native_units', COUNT(*) FROM ({_native(COST_DAY)})
             UNION ALL SELECT 'forecast_aws_reconciled', COUNT(*) FROM fitted WHERE source = 'aws'
-            UNION ALL SELECT 'optimization_suggestions', COUNT(*) FROM suggestions WHERE NOT starts_with(coalesce(attribution_key, ''), 'SVC_')""",
+            UNION ALL SELECT 'optimization_suggestions', COUNT(*) FROM suggestions WHERE NOT starts_with(coalesce(attribution_key, ''), 'SVC_'))""",
         "by_source_date",
         "by_attribution",
         "daily_actuals",

@@ -627,8 +627,9 @@ def latest_partition(spark, sf):
 
 @query
 def outputs_written(spark, sf):
-    """The whole job over a written raw store; rows of every output table."""
+    """The whole job over a written raw store; rows of every output table of the published run, and its record."""
     root = new_path(spark, "outputs")
     written = pipeline.run(v.landed_store(spark, sf), root, v.COST_AS_OF, spark)
     tables = {name: out.read_latest(spark, root, name).agg(F.count(F.lit(1)).alias("n")) for name in written}
-    return _labelled(tables, "output_table")
+    newest = out.store_run_date(spark, root)
+    return _labelled(tables, "output_table").join(out.published_tables(spark, root, newest), "output_table").withColumn("run_date", F.lit(newest))

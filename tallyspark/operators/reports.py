@@ -277,12 +277,17 @@ def total_records(counts: DataFrame) -> DataFrame:
     return counts.agg(F.sum("record_count").alias("total_records"))
 
 
-def overview(counts: DataFrame, query_anomalies: DataFrame, forecast_by_source: DataFrame) -> dict[str, DataFrame]:
+def overview(
+    counts: DataFrame, query_anomalies: DataFrame, forecast_by_source: DataFrame, run_date: str | None = None
+) -> dict[str, DataFrame]:
+    """The parts of the first page; ``run_date`` is that of the run whose tables are given."""
+    store = total_records(counts).withColumn("run_date", F.lit(run_date).cast("string"))
     return {
         "sources": headline_counts(counts),
         "headline_anomaly": headline_card(query_anomalies),
         "forecast_preview": forecast_series(forecast_by_source.filter(F.col("source") == AWS)),
         "total_records": total_records(counts),
+        "store": store,
     }
 
 

@@ -21,7 +21,7 @@ from ..operators.forecast import (
 from ..operators.rollups import attribution_rollup, daily_totals, source_date_rollup
 from ..operators.rules import run_all_rules
 from ..sources.materialize import materialize
-from ..sources.outputs import partition_path, write_output, write_outputs
+from ..sources.outputs import Run
 from ..sources.raw_store import read_raw_store
 
 log = logging.getLogger(__name__)
@@ -94,17 +94,20 @@ def run(
 
     Works in the given session, else in the one that is running or can be started.
     The query anomaly table is written first. It holds every query row with its metadata
-    as columns, so the rules on query text read it back in place of the raw JSON.
+    as columns, so the rules on query text read it back in place of the raw JSON. All tables
+    are published together when the last is written.
     """
     spark = spark or SparkSession.builder.getOrCreate()
     as_of = as_of or date.today()
     events = enrich_events(read_raw_store(spark, raw_dir))
     parts = events_by_source(spark, raw_dir)
     outputs = build_outputs(spark, events, as_of, by_source=parts, rules_on_records=False)
-    written = {QUERY_ANOMALIES: write_output(outputs.pop(QUERY_ANOMALIES), output_dir, QUERY_ANOMALIES, as_of)}
-    queries = spark.read.parquet(partition_path(output_dir, QUERY_ANOMALIES, as_of))
+    run = Run(spark, output_dir, as_of)
+    queries = run.write(QUERY_ANOMALIES, outputs.pop(QUERY_ANOMALIES))
     outputs[SUGGESTIONS] = run_all_rules(spark, events, queries=queries, by_source=parts)
-    return written | write_outputs(outputs, output_dir, as_of)
+    for name, df in outputs.items():
+        run.write(name, df)
+    return run.publish()
 
 
 def main() -> None:

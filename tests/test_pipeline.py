@@ -118,3 +118,42 @@ def test_stream_collects_each_file_once(spark, landing, tmp_path):
     collect_new("databricks", "job_runs")
     rows = read_raw_store(spark, raw)
     assert rows.count() == 16 and rows.filter("resource_id = 'q200'").count() == 1
+
+
+@pytest.mark.parametrize("fails_at", ["write", "move", "record"])
+def test_a_run_that_fails_is_not_seen(spark, tmp_path, monkeypatch, fails_at):
+    root = str(tmp_path / "processed")
+    tables = lambda n: {name: spark.range(n).withColumn("table", F.lit(name)) for name in "abc"}
+    seen = lambda: {name: out.read_latest(spark, root, name).count() for name in "abcd"}
+    assert out.write_outputs(tables(1), root, date(2026, 8, 10)) == {"a": 1, "b": 1, "c": 1}
+    out.write_outputs(tables(2), root, date(2026, 8, 11))
+    assert seen() == {"a": 2, "b": 2, "c": 2, "d": 0}
+
+    def broken(real, which):
+        calls = []
+
+        def call(*args):
+            calls.append(args)
+            if len(calls) == which:
+                raise OSError("lost")
+            return real(*args)
+
+        return call
+
+    with monkeypatch.context() as m:
+        if fails_at == "write":
+            m.setattr(out, "write_output", broken(out.write_output, 2))
+        elif fails_at == "move":
+            m.setattr(out, "move_dir", broken(out.move_dir, 2))
+        else:
+            m.setattr(spark, "createDataFrame", broken(spark.createDataFrame, 1))
+        with pytest.raises(OSError):
+            out.write_outputs(tables(3) | {"d": spark.range(4)}, root, date(2026, 8, 11))
+    # a run of the same date that fails on the way takes the earlier one with it, as a whole
+    whole = 2 if fails_at == "write" else 1
+    assert seen() == {"a": whole, "b": whole, "c": whole, "d": 0}
+    assert out.store_run_date(spark, root) == ("2026-08-11" if fails_at == "write" else "2026-08-10")
+    out.write_outputs(tables(3) | {"d": spark.range(4)}, root, date(2026, 8, 11))
+    assert seen() == {"a": 3, "b": 3, "c": 3, "d": 4}
+    tables_of = out.published_tables(spark, root, "2026-08-11").collect()
+    assert {r["output_table"]: r["record_count"] for r in tables_of} == {"a": 3, "b": 3, "c": 3, "d": 4}

@@ -117,10 +117,10 @@ def test_output_partitions(spark, tmp_path):
     assert out.read_latest(spark, root, "t").count() == 0 and out.store_run_date(spark, root) is None
     df = spark.range(5).withColumnRenamed("id", "n")
     assert out.write_outputs({"t": df}, root, date(2026, 8, 11)) == {"t": 5}
-    out.write_output(df.limit(2), root, "t", date(2026, 8, 12))
+    out.write_outputs({"t": df.limit(2)}, root, date(2026, 8, 12))
     assert out.run_dates(spark, root, "t") == ["2026-08-11", "2026-08-12"]
     assert out.read_latest(spark, root, "t").count() == 2
-    out.write_output(df.limit(0), root, "t", date(2026, 8, 12))
+    out.write_outputs({"t": df.limit(0)}, root, date(2026, 8, 12))
     assert out.read_latest(spark, root, "t").count() == 0, "a rerun without rows replaces the partition"
     assert out.read_all(spark, root, "t").count() == 5
 
