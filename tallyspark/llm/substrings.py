@@ -18,7 +18,6 @@ results. Columns other than id and text are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, forget, materialize, rows_of, text_slices
+from .common import as_table, materialize, on_worker, rows_of, text_slices
 
 WINDOW = 13
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 # hashes of words are polynomials modulo a prime, so that no two words collide for every base
 _PRIME = (1 << 31) - 1
@@ -67,9 +66,8 @@ class _Powers:
         return self.tables
 
 
-@lru_cache(maxsize=None)
 def _powers(which: int) -> _Powers:
-    return _Powers(_BASES[which])
+    return on_worker("powers", lambda: [_Powers(base) for base in _BASES])[which]
 
 
 def _mixed(a: np.ndarray, b: np.ndarray, which: int) -> np.ndarray:
@@ -181,7 +179,6 @@ def _anchors(docs: DataFrame, window: int, base: int) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("doc_id", pa.int64())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
         for keys, texts in rows_of(batches, "doc_id", "text"):
             ids = np.array(keys, np.int64)
             for rows, passage in passages(keys, texts, window - 1):
@@ -203,7 +200,6 @@ def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
     schema = pa.schema([("h", pa.int64()), ("check", pa.int32()), ("doc_id", pa.int64()), ("asks", pa.bool_())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
