@@ -21,25 +21,30 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text the quality model accepts, as they are; null and empty texts are scored like others."""
     return quality.good_rows(docs, _labels(spark, sf_dir))
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text scores below the toxicity threshold, as they are."""
     return toxicity.clean_rows(docs, _labels(spark, sf_dir))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near duplicates, that of the least id; null ids come last."""
     ship_package(spark)
     return simhash.representatives(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, without the words that a document with a smaller id has in a passage; other texts stay as they are."""
     ship_package(spark)
     stripped = substrings.strip_repeats(docs)
     return stripped.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else stripped
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each text, with its place in a sequence."""
     ship_package(spark)
     return packing.pack(docs, public_tokenizers.path(VOCABULARY))
 
