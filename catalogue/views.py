@@ -217,7 +217,7 @@ def extreme_doubles(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events")
     key, grp = F.col("event_id"), F.pmod(F.col("event_id"), F.lit(5)).cast("int")
     near = 1 + (key % 97) * 0.001
-    far = F.array(*[F.lit(10.0**e) for e in (4, 6, 8, 10, 12)]).getItem(grp)
+    far = F.element_at(F.array(*[F.lit(10.0**e) for e in (4, 6, 8, 10, 12)]), grp + 1)
     odd = F.when(key % 2000 == 0, float("nan")).otherwise(float("inf"))
     value = F.when(key < 5, far).when(key % 1000 == 0, odd).otherwise(near)
     return events.select(key, grp.alias("grp"), value.alias("val"))
