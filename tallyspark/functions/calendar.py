@@ -35,12 +35,28 @@ def moment_of_epoch_ms(ms: Column) -> Column:
     return F.timestamp_millis(F.nullif(ms, F.lit(0)))
 
 
+def utc_clock(moment: Column) -> Column:
+    """What a UTC clock shows at that moment, as a timestamp without a zone.
+
+    The session time zone has no part in it, so neither have its gaps and repeated hours.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment.cast("timestamp")), epoch)
+
+
+def utc_day(moment: Column) -> Column:
+    """The UTC date of a moment, whatever the session time zone is."""
+    return utc_clock(moment).cast("date")
+
+
+def utc_midnight(day: Column) -> Column:
+    """The moment at which a day begins in UTC."""
+    return F.timestamp_seconds(F.unix_date(day).cast("long") * 86400)
+
+
 def iso_moment(moment: Column) -> Column:
-    """``2026-08-12T10:00:00+00:00``; fractions of a second only when there are any."""
-    pattern = "yyyy-MM-dd'T'HH:mm:ss"
-    micros = F.date_format(moment, "SSSSSS")
-    return F.concat(
-        F.date_format(moment, pattern),
-        F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros)),
-        F.date_format(moment, "xxx"),
-    )
+    """``2026-08-12T10:00:00+00:00``, in UTC; fractions of a second only when there are any."""
+    seconds = F.replace(F.substring_index(utc_clock(moment).cast("string"), ".", 1), F.lit(" "), F.lit("T"))
+    micros = F.pmod(F.unix_micros(moment.cast("timestamp")), F.lit(1_000_000))
+    fraction = F.when(micros == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
+    return F.concat(seconds, fraction, F.lit("+00:00"))

@@ -2,7 +2,8 @@
 
 All functions are narrow (projections and explodes) apart from the cluster lookup, so
 they run in one pass over payloads of any volume. ``now`` stands for the time of
-collection and is passed in, so that runs can be repeated.
+collection and is passed in, so that runs can be repeated. Days are UTC days under any
+session time zone.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from ..fixed_values import (
     SOURCE_LOOKBACK_DAYS,
     UNKNOWN_SERVICE,
 )
-from ..functions.calendar import as_day, iso_moment, moment_of_epoch_ms, month_start
+from ..functions.calendar import as_day, iso_moment, moment_of_epoch_ms, month_start, utc_day, utc_midnight
 from ..schema import RECORD_COLUMNS, STORED_RECORD
 from .groups import lookup_join
 from .pricing import estimate_cost, hours_of_ms
@@ -101,8 +102,8 @@ def normalize_cost_forecast(payloads: DataFrame, now: datetime, today: date | Co
         resource_type="cost_forecast",
         resource_id=_joined_id(start.cast("string"), end.cast("string")),
         usage_date=start,
-        period_start=start,
-        period_end=end,
+        period_start=utc_midnight(start),
+        period_end=utc_midnight(end),
         cost_usd=F.col("Total.Amount").try_cast("double"),
         cost_basis=F.lit(FORECAST),
         usage_unit=F.col("Total.Unit"),
@@ -160,7 +161,7 @@ def normalize_query_history(rows: DataFrame, now: datetime) -> DataFrame:
         resource_type="query",
         resource_id=F.col("QUERY_ID"),
         account_identifier=F.col("WAREHOUSE_NAME"),
-        usage_date=F.coalesce(F.to_date(started), F.to_date(F.lit(now))),
+        usage_date=utc_day(F.coalesce(started, F.lit(now))),
         period_start=started,
         period_end=F.col("END_TIME"),
         service=F.col("WAREHOUSE_NAME"),
@@ -192,7 +193,7 @@ def normalize_warehouse_metering(rows: DataFrame, now: datetime) -> DataFrame:
         resource_type="warehouse_metering_hour",
         resource_id=_joined_id(F.coalesce("WAREHOUSE_NAME", F.lit("None")), F.coalesce(iso_moment(started), F.lit("unknown"))),
         account_identifier=F.col("WAREHOUSE_NAME"),
-        usage_date=F.coalesce(F.to_date(started), F.to_date(F.lit(now))),
+        usage_date=utc_day(F.coalesce(started, F.lit(now))),
         period_start=started,
         period_end=F.col("END_TIME"),
         service=F.col("WAREHOUSE_NAME"),
@@ -255,7 +256,7 @@ def normalize_job_runs(
         resource_type="job_run",
         resource_id=F.col("run_id"),
         account_identifier=F.coalesce(F.nullif("job_id", F.lit(0)).cast("string"), F.lit("")),
-        usage_date=F.to_date(started),
+        usage_date=utc_day(started),
         period_start=started,
         period_end=ended,
         service=F.col("run_name"),
@@ -295,7 +296,7 @@ def normalize_cluster_events(payloads: DataFrame, now: datetime) -> DataFrame:
         resource_type="cluster_event",
         resource_id=_joined_id(F.col("cluster_id"), F.coalesce(F.col("event.timestamp").cast("string"), F.lit("None"))),
         account_identifier=F.col("cluster_id"),
-        usage_date=F.to_date(moment),
+        usage_date=utc_day(moment),
         period_start=moment,
         raw_metadata=_json(type=F.col("event.type"), details=F.coalesce(F.col("event.details"), F.create_map())),
     )

@@ -3,8 +3,10 @@ from datetime import date, datetime, timezone
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark import schema as sc
+from tallyspark.functions.calendar import iso_moment
 from tallyspark.operators import normalize as nz
 from tallyspark.operators.groups import lookup_join
 from tallyspark.operators.pricing import estimate_cost
@@ -147,3 +149,38 @@ def test_cluster_events(spark):
     assert rows[0].usage_date == date(2026, 8, 1) and rows[1].usage_date == date(2026, 8, 12)
     assert json.loads(rows[1].raw_metadata) == {"type": "X", "details": {}}
     assert rows[0].cost_usd is None
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_days_are_utc_days_in_every_session_zone(spark, zone):
+    """Moments around a UTC midnight and in an hour that New York's clocks leave out."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    epoch = lambda *at: int(datetime(*at, tzinfo=timezone.utc).timestamp() * 1000)
+    moments = [epoch(2026, 8, 1, 0, 30), epoch(2026, 8, 1, 23, 30), epoch(2026, 3, 8, 2, 30), epoch(2026, 3, 8, 7, 30), epoch(1969, 12, 31, 23, 59)]
+    days = ["2026-08-01", "2026-08-01", "2026-03-08", "2026-03-08", "1969-12-31"]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        at = spark.createDataFrame([(m,) for m in moments], "ms long").selectExpr("timestamp_millis(ms) AS at", "ms")
+        history = at.selectExpr(*[f"{'at' if f.name == 'START_TIME' else f'CAST(NULL AS {f.dataType.simpleString()})'} AS {f.name}" for f in sc.QUERY_HISTORY_ROW])
+        metering = at.selectExpr(*[f"{'at' if f.name == 'START_TIME' else f'CAST(NULL AS {f.dataType.simpleString()})'} AS {f.name}" for f in sc.METERING_ROW])
+        runs = spark.createDataFrame([{"run_id": i, "start_time": m} for i, m in enumerate(moments)], sc.JOB_RUN_PAYLOAD)
+        events = spark.createDataFrame([("c", [(m, "START", None)]) for m in moments], sc.CLUSTER_EVENTS_PAYLOAD)
+        clusters = spark.createDataFrame([], sc.CLUSTER_ROW)
+        for records in (
+            nz.normalize_query_history(history, NOW),
+            nz.normalize_warehouse_metering(metering, NOW),
+            nz.normalize_job_runs(runs, clusters, NOW),
+            nz.normalize_cluster_events(events, NOW),
+        ):
+            assert sorted(str(r.usage_date) for r in records.collect()) == sorted(days)
+        late = nz.normalize_query_history(history.withColumn("START_TIME", F.lit(None).cast("timestamp")), NOW.replace(hour=23))
+        assert {str(r.usage_date) for r in late.collect()} == {"2026-08-12"}
+        ids = [r.resource_id for r in nz.normalize_warehouse_metering(metering, NOW).collect()]
+        assert sorted(ids)[0] == "None::1969-12-31T23:59:00+00:00" and "None::2026-03-08T02:30:00+00:00" in ids
+        forecast = spark.createDataFrame([({"Amount": "1", "Unit": "USD"}, [])], sc.COST_FORECAST_PAYLOAD)
+        bounds = nz.normalize_cost_forecast(forecast, NOW, date(2026, 8, 12)).selectExpr("unix_millis(period_start)", "unix_millis(period_end)").first()
+        assert tuple(bounds) == (epoch(2026, 8, 13), epoch(2026, 9, 1))
+        exact = spark.sql("SELECT timestamp_micros(1785542400000007) AS t").select(iso_moment(F.col("t"))).first()[0]
+        assert exact == "2026-08-01T00:00:00.000007+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
