@@ -32,6 +32,12 @@ def _table_dirs(
     return [d for p in patterns for d in matching_dirs(spark, p)]
 
 
+def _table_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of one ``<source>/<table>`` directory, with its source as a literal."""
+    source = path.rstrip("/").split("/")[-2]
+    return spark.read.schema(_WITH_PARTITION).parquet(path).withColumn("source", F.lit(source))
+
+
 def read_raw_store(
     spark: SparkSession,
     raw_dir: str,
@@ -45,6 +51,10 @@ def read_raw_store(
 ) -> DataFrame:
     """All records of the store as one frame, with dates and timestamps parsed.
 
+    ``source`` is a literal of each directory, as :func:`write_records` ensures, so a filter on
+    it is settled while the query is planned: directories of other sources are not in the plan.
+    A filter on ``resource_type`` reaches the Parquet statistics.
+
     Files are read under one fixed schema, since independent writers give an all-null
     column different physical types; Spark widens those while it reads. Text that is no
     date becomes null.
@@ -58,8 +68,7 @@ def read_raw_store(
     dirs = _table_dirs(spark, raw_dir, tables, sources)
     if not dirs:
         raise FileNotFoundError(f"no <source>/<table> directory under {raw_dir}")
-    parts = [spark.read.schema(_WITH_PARTITION).parquet(d) for d in dirs]
-    rows = reduce(DataFrame.unionByName, parts)
+    rows = reduce(DataFrame.unionByName, [_table_rows(spark, d) for d in dirs])
     if ingested_since is not None:
         rows = rows.filter(F.col("ingested_date") >= F.lit(ingested_since))
     if since is not None:
@@ -111,7 +120,8 @@ def write_records(
     """Append a batch to its partition; the written directory, or None for an empty batch.
 
     A record of another source than its directory fails the write, so that readers may
-    choose sources by directory.
+    choose sources by directory. Files are sorted by ``usage_date``, so that row groups
+    cover few days.
     """
     day = ingested_date or date.today()
     counted = Observation()
@@ -124,6 +134,7 @@ def write_records(
         .withColumn("source", own)
         .withColumn("ingested_date", F.lit(day))
         .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .sortWithinPartitions("ingested_date", "usage_date")
         .write.mode("append")
         .partitionBy("ingested_date")
         .parquet(target)

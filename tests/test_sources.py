@@ -5,6 +5,9 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from tallyspark.operators.enrich import enrich_events
+from tallyspark.operators.forecast import billed_run_rate
+from tallyspark.operators.rules import cost_gap_facts, query_text_stats
 from tallyspark.schema import RECORD_COLUMNS
 from tallyspark.sources import outputs as out
 from tallyspark.sources import raw_store as rs
@@ -143,3 +146,31 @@ def test_bounds_keep_dates_of_one_digit(spark, tmp_path):
     assert sorted(r.usage_date.day for r in got) == [1, 9, 31]
     early = rs.read_raw_store(spark, str(tmp_path), since=date(2026, 1, 1), until=date(2026, 8, 1)).collect()
     assert sorted(r.usage_date for r in early) == [date(2026, 1, 5), date(2026, 8, 1)]
+
+
+def scans(df):
+    """Table directories that the optimized plan reads."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count("parquet")
+
+
+def test_a_filter_on_source_leaves_other_directories_out_of_the_plan(spark, tmp_path):
+    for source, table in (("aws", "cost_and_usage"), ("aws", "cost_forecast"), ("snowflake", "query_history"), ("databricks", "job_runs")):
+        write(records(spark, source=source, resource_type=table), tmp_path, source, table)
+    store = rs.read_raw_store(spark, str(tmp_path))
+    events = enrich_events(store)
+    assert scans(store) == 4 and {r.source for r in store.collect()} == {"aws", "snowflake", "databricks"}
+    assert scans(events.filter("source = 'databricks'")) == 1
+    assert scans(cost_gap_facts(events)) == 1
+    assert scans(query_text_stats(events)) <= 2
+    assert scans(billed_run_rate(events, date(2026, 8, 12))) == 2
+    assert scans(store.filter("source = 'elsewhere'")) == 0
+    assert scans(store.filter("source IN ('aws', 'snowflake')").groupBy("source").count()) == 3
+
+
+def test_rows_of_a_file_are_sorted_by_date(spark, tmp_path):
+    days = [3, 1, 2]
+    parts = [records(spark, usage_date=date(2026, 8, d)) for d in days]
+    write(parts[0].union(parts[1]).union(parts[2]).coalesce(1), tmp_path)
+    (stored,) = (tmp_path / "aws" / "cost_and_usage").rglob("*.parquet")
+    assert pq.read_table(stored)["usage_date"].to_pylist() == ["2026-08-01", "2026-08-02", "2026-08-03"]
