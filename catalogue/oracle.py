@@ -642,6 +642,14 @@ ORACLE: dict[str, str] = {
         "flat",
     ),
     # --- stores
+    "newest_collection": sql(
+        """SELECT source, resource_type, CAST(usage_date AS VARCHAR) AS usage_date, CAST(CASE WHEN again THEN DATE '2024-02-01' ELSE DATE '2024-01-31' END AS VARCHAR) AS ingested_date,
+           COUNT(*) AS n, CAST(SUM(CASE WHEN again THEN 2 * cost_usd ELSE cost_usd END) AS DOUBLE) AS cost_usd, CAST(SUM(usage_quantity) AS DOUBLE) AS usage_quantity,
+           MAX(CASE WHEN again THEN '2024-02-01 12:00:00.000000' ELSE ingested_at END) AS ingested_at
+           FROM (SELECT *, day(usage_date) <= 10 AS again FROM records
+                 QUALIFY row_number() OVER (PARTITION BY source, resource_type, resource_id ORDER BY ingested_at DESC, cost_usd DESC) = 1) GROUP BY 1, 2, 3, 4""",
+        "records",
+    ),
     "raw_store_roundtrip": sql(
         f"""SELECT source, resource_type, CAST(usage_date AS VARCHAR) AS usage_date, COUNT(*) AS n, CAST(SUM(cost_usd) AS DOUBLE) AS cost_usd, CAST(SUM(usage_quantity) AS DOUBLE) AS usage_quantity,
             {_stamp('MIN(period_start)')} AS first_start, MAX(ingested_at) AS ingested_at, COUNT(query_type) AS with_query_type FROM records GROUP BY 1, 2, 3""",

@@ -18,6 +18,7 @@ from tallyspark.operators import reports as rp
 from tallyspark.operators import rollups as ro
 from tallyspark.operators import rules as ru
 from tallyspark.operators.enrich import enrich_events
+from tallyspark.operators.newest import newest_records
 from tallyspark.operators.pricing import estimate_cost, hours_of_ms
 from tallyspark.plans import pipeline
 from tallyspark.plans.collect import normalize_all
@@ -598,6 +599,18 @@ def display_formats(spark, sf):
 # --- stores ------------------------------------------------------------------------------------------------------------
 
 
+@query
+def newest_collection(spark, sf):
+    """A store with overlapping collections: each record once, as the newest has it."""
+    records = newest_records(rs.read_raw_store(spark, v.twice_landed_store(spark, sf), keep_ingested_date=True))
+    return records.groupBy("source", "resource_type", "usage_date", "ingested_date").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("cost_usd").cast(v.MONEY)).alias("cost_usd"),
+        F.sum(F.col("usage_quantity").cast(v.MONEY)).alias("usage_quantity"),
+        F.max("ingested_at").alias("ingested_at"),
+    )
+
+
 @query
 def raw_store_roundtrip(spark, sf):
     """Records of all tables written to a raw store and read back, summed up per day."""

@@ -11,7 +11,7 @@ and the comparison with another engine does not depend on the order of rows.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from functools import lru_cache
 
@@ -443,6 +443,21 @@ def landed_store(spark: SparkSession, sf_dir: str) -> str:
     return raw_dir
 
 
+@view
+def twice_landed_store(spark: SparkSession, sf_dir: str) -> str:
+    """The records, and a day later those of some days and runs again, with twice the cost."""
+    raw_dir = new_path(spark, "landed-twice")
+    later = NOW + timedelta(days=1)
+    for (source, name), records in LANDING.items():
+        first = records(spark, sf_dir)
+        again = first.filter(F.day("usage_date") <= 10).withColumns(
+            {"cost_usd": (F.col("cost_usd") * 2).cast(MONEY), "ingested_at": F.lit(later)}
+        )
+        for batch, at in ((first, NOW), (again, later)):
+            write_records(batch, source=source, table=name, output_dir=raw_dir, ingested_date=at.date())
+    return raw_dir
+
+
 @view
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact(read_raw_store(spark, landed_store(spark, sf_dir)))

@@ -51,10 +51,9 @@ def with_query_text(queries: DataFrame) -> DataFrame:
     return queries
 
 
-def preview_in_place(texts: DataFrame) -> DataFrame:
-    """The beginning of ``query_text`` instead of it, as ``query_text_preview``."""
-    cut = F.substring("query_text", 1, QUERY_PREVIEW_CHARS)
-    return texts.withColumn("query_text", cut).withColumnRenamed("query_text", "query_text_preview")
+def text_identity(text: Column) -> dict[str, Column]:
+    """A short preview and a digest, which as keys stand for a whole text of any length."""
+    return {"query_text_preview": F.substring(text, 1, QUERY_PREVIEW_CHARS), "text_digest": F.unhex(F.sha2(text, 256))}
 
 
 def starts_with_any(text: Column, prefixes: Iterable[str]) -> Column:

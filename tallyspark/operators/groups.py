@@ -83,13 +83,16 @@ def lookup_join(
     key: str,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_parts: int = HOT_PARTS,
     slices: int = 64,
 ) -> DataFrame:
     """``rows`` left-joined to ``table``, which has one row per ``key``; null keys match nothing.
 
-    The table is written once and measured on the way: broadcast when small, else joined
-    by shuffle with the key split in ``slices``, so that a frequent key is spread over
-    that many tasks. Rows with a null key are spread as well.
+    The table is written once and measured on the way: broadcast when small, else joined by
+    shuffle. Then rows are counted by key; keys with more than 1/``hot_parts`` of the rows, so
+    fewer than ``hot_parts`` of them, are split in ``slices``, and only their rows of the table
+    are copied. Rows with a null key are not shuffled. Keys of a stream cannot be counted
+    ahead, so there every key is split.
     """
     size = Observation()
     width = F.coalesce(F.length(F.to_json(F.struct("*"))), F.lit(0)).cast("long") + ROW_OVERHEAD
@@ -99,10 +102,30 @@ def lookup_join(
     )
     if size.get["bytes"] <= broadcast_bytes:
         return rows.join(F.broadcast(table), key, "left")
-    copies = table.withColumn("__slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     slice_of_row = F.pmod(F.xxhash64(*[c for c in rows.columns if c != key]), F.lit(slices)).cast("int")
-    # a null key only meets other nulls of its slice, and matches none of them
-    return rows.withColumn("__slice", slice_of_row).join(copies, [key, "__slice"], "left").drop("__slice")
+    each_slice = F.sequence(F.lit(0), F.lit(slices - 1))
+    if rows.isStreaming:
+        copies = table.withColumn("__slice", F.explode(each_slice))
+        return rows.withColumn("__slice", slice_of_row).join(copies, [key, "__slice"], "left").drop("__slice")
+    hot = F.broadcast(_hot_keys(rows, key, hot_parts).withColumn("__hot", F.lit(True)))
+    is_hot = F.col("__hot").isNotNull()
+    named = rows.filter(F.col(key).isNotNull()).join(hot, key, "left")
+    copies = table.join(hot, key, "left").withColumn(
+        "__slice", F.explode(F.when(is_hot, each_slice).otherwise(F.array(F.lit(0))))
+    )
+    found = named.withColumn("__slice", F.when(is_hot, slice_of_row).otherwise(0)).join(
+        copies.drop("__hot"), [key, "__slice"], "left"
+    )
+    unnamed = rows.filter(F.col(key).isNull())
+    return found.drop("__slice", "__hot").unionByName(unnamed, allowMissingColumns=True)
+
+
+def _hot_keys(rows: DataFrame, key: str, hot_parts: int) -> DataFrame:
+    """Keys, other than null, with more than 1/``hot_parts`` of the rows that have one."""
+    total = Observation()
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
+    counts = materialize(counts.observe(total, F.coalesce(F.sum(GROUP_ROWS), F.lit(0)).alias("rows")), "key-counts")
+    return counts.filter(F.col(GROUP_ROWS) * hot_parts > total.get["rows"]).select(key)
 
 
 def smallest_per_group(

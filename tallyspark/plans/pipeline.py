@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from ..operators.forecast import (
     native_unit_forecast,
     reconcile_with_aws_native_forecast,
 )
+from ..operators.newest import newest_records
 from ..operators.rollups import attribution_rollup, daily_totals, source_date_rollup
 from ..operators.rules import run_all_rules
 from ..sources.materialize import materialize
@@ -76,31 +77,45 @@ def build_outputs(
     return outputs
 
 
-def events_by_source(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def stored_events(
+    spark: SparkSession, raw_dir: str, *, sources: Iterable[str] | None = None, newest_only: bool = False
+) -> DataFrame:
+    """Enriched records of the store; with ``newest_only``, those of the newest collection."""
+    records = read_raw_store(spark, raw_dir, sources=sources)
+    return enrich_events(newest_records(records) if newest_only else records)
+
+
+def events_by_source(spark: SparkSession, raw_dir: str, *, newest_only: bool = False) -> dict[str, DataFrame]:
     """Enriched events of each source that has a directory."""
     found = {}
     for source in SOURCES:
         try:
-            found[source] = enrich_events(read_raw_store(spark, raw_dir, sources=[source]))
+            found[source] = stored_events(spark, raw_dir, sources=[source], newest_only=newest_only)
         except FileNotFoundError:
             log.info("no records of %s", source)
     return found
 
 
 def run(
-    raw_dir: str, output_dir: str, as_of: date | None = None, spark: SparkSession | None = None
+    raw_dir: str,
+    output_dir: str,
+    as_of: date | None = None,
+    spark: SparkSession | None = None,
+    *,
+    newest_only: bool = False,
 ) -> dict[str, int]:
     """Read, enrich, build and write; row counts of the written tables by name.
 
     Works in the given session, else in the one that is running or can be started.
     The query anomaly table is written first. It holds every query row with its metadata
     as columns, so the rules on query text read it back in place of the raw JSON. All tables
-    are published together when the last is written.
+    are published together when the last is written. With ``newest_only``, a record that
+    several collections have counts once, as the newest has it.
     """
     spark = spark or SparkSession.builder.getOrCreate()
     as_of = as_of or date.today()
-    events = enrich_events(read_raw_store(spark, raw_dir))
-    parts = events_by_source(spark, raw_dir)
+    events = stored_events(spark, raw_dir, newest_only=newest_only)
+    parts = events_by_source(spark, raw_dir, newest_only=newest_only)
     outputs = build_outputs(spark, events, as_of, by_source=parts, rules_on_records=False)
     run = Run(spark, output_dir, as_of)
     queries = run.write(QUERY_ANOMALIES, outputs.pop(QUERY_ANOMALIES))
@@ -111,16 +126,17 @@ def run(
 
 
 def main() -> None:
-    """Command line: RAW_DIR OUTPUT_DIR [--as-of DAY]."""
+    """Command line: RAW_DIR OUTPUT_DIR [--as-of DAY] [--newest-only]."""
     parser = argparse.ArgumentParser(description="raw usage records to spend, anomaly, forecast and suggestion tables")
     parser.add_argument("raw_dir")
     parser.add_argument("output_dir")
     parser.add_argument("--as-of", type=date.fromisoformat, default=None)
+    parser.add_argument("--newest-only", action="store_true", help="count a record that was collected again once")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("usage-cost-analytics").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
-        for name, rows in run(args.raw_dir, args.output_dir, args.as_of, spark).items():
+        for name, rows in run(args.raw_dir, args.output_dir, args.as_of, spark, newest_only=args.newest_only).items():
             log.info("%s: %d rows", name, rows)
     finally:
         spark.stop()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import MIN_REPEATS
-from ..functions.text import preview_in_place, with_query_text
+from ..functions.text import text_identity, with_query_text
 from ..operators.anomalies import condensed_query_anomalies, snowflake_queries
 from ..operators.enrich import enrich_events
 from ..operators.forecast import billed_run_rate
@@ -18,10 +18,13 @@ from ..sources.raw_store import read_raw_store
 def repeated_texts(queries: DataFrame, min_repeats: int = MIN_REPEATS) -> DataFrame:
     """Whole query texts by warehouse with run count and total time; console statements included."""
     selects = with_query_text(queries).filter((F.col("query_type") == "SELECT") & F.col("query_text").contains("FROM"))
-    return preview_in_place(
-        selects.groupBy("account_identifier", "query_text")
+    identity = text_identity(F.col("query_text"))
+    return (
+        selects.select("account_identifier", "usage_quantity", *[c.alias(name) for name, c in identity.items()])
+        .groupBy("account_identifier", *identity)
         .agg(F.count(F.lit(1)).alias("run_count"), F.sum("usage_quantity").alias("total_ms"))
         .filter(F.col("run_count") >= min_repeats)
+        .drop("text_digest")
     )
 
 

@@ -9,6 +9,7 @@ from tallyspark import schema as sc
 from tallyspark.functions.calendar import iso_moment
 from tallyspark.operators import normalize as nz
 from tallyspark.operators.groups import lookup_join
+from tallyspark.operators.newest import newest_records
 from tallyspark.operators.pricing import estimate_cost
 
 NOW = datetime(2026, 8, 12, 12, tzinfo=timezone.utc)
@@ -184,3 +185,37 @@ def test_days_are_utc_days_in_every_session_zone(spark, zone):
         assert exact == "2026-08-01T00:00:00.000007+00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("hot_parts", [1, 10, 1000])
+def test_lookup_join_copies_rows_of_hot_keys_only(spark, hot_parts):
+    keys = ["hot"] * 300 + [f"k{i}" for i in range(50)] + [None] * 40 + ["unknown"]
+    rows = spark.createDataFrame(list(enumerate(keys)), "i int, k string").repartition(3)
+    table = spark.createDataFrame([("hot", 1), (None, 9)] + [(f"k{i}", i) for i in range(40)], "k string, v int")
+    joined = lookup_join(rows, table, "k", broadcast_bytes=0, hot_parts=hot_parts)
+    want = {i: 1 if k == "hot" else int(k[1:]) if k and k[1:].isdigit() and int(k[1:]) < 40 else None for i, k in enumerate(keys)}
+    assert {r.i: r.v for r in joined.collect()} == want and joined.count() == len(keys)
+    empty = lookup_join(rows.limit(0), table, "k", broadcast_bytes=0)
+    assert empty.count() == 0 and set(empty.columns) == {"i", "k", "v"}
+    assert lookup_join(rows, table.limit(0), "k", broadcast_bytes=0).filter("v IS NULL").count() == len(keys)
+
+
+def test_newest_records(spark):
+    at = lambda d: datetime(2026, 8, d)
+    rows = [
+        ("aws", "t", "a", at(1), 1.0, "x"),
+        ("aws", "t", "a", at(3), None, "y"),
+        ("aws", "t", "a", at(2), 9.0, "z"),
+        ("aws", "u", "a", None, 4.0, None),
+        ("aws", "u", "b", at(1), 4.0, "p"),
+        ("aws", "u", "b", at(1), 5.0, "o"),
+        ("aws", "u", "b", at(1), 5.0, "o"),
+        ("aws", "u", None, at(1), 5.0, "o"),
+        ("aws", "u", None, at(1), 5.0, "o"),
+        (None, None, "c", None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "source string, resource_type string, resource_id string, ingested_at timestamp, cost_usd double, extra string")
+    got = newest_records(df)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.coalesce(1).filter("cost_usd IS NULL OR cost_usd = 4.0 AND extra IS NULL OR cost_usd = 5.0").dropDuplicates().union(df.filter("resource_id IS NULL").limit(1)).collect()))
+    assert newest_records(df.limit(0)).count() == 0
