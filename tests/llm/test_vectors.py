@@ -81,3 +81,53 @@ def test_cells_meet_all_links(threshold):
         cells = neardup.cells_of(points, neardup.fit_centres(points, 25), neardup.boundary_of(threshold))
         for i, j in np.argwhere(points @ points.T >= threshold):
             assert cells[i][0] in cells[j] or cells[j][0] in cells[i]
+
+
+def brute_force(rows, k=5, every=50):
+    """{(query, rank, id, score)} over (id, whole numbers) with Python's integers."""
+    want = set()
+    for i, q in [r for r in rows if r[0] % every == 0]:
+        exact = [(sum(int(a) * int(b) for a, b in zip(q, v)), j) for j, v in rows if j != i]
+        scored = sorted((-max(-(2**63), min(2**63 - 1, s)), j) for s, j in exact)[:k]
+        want |= {(i, n, j, -s) for n, (s, j) in enumerate(scored, 1)}
+    return want
+
+
+def test_bounds_rule_out_candidates_and_lose_none(spark):
+    """Vectors in groups with means of their own: most candidates fall by segment statistics."""
+    rng = np.random.default_rng(3)
+    centres = np.repeat(rng.normal(size=(12, 16)) * 4, 4, axis=1)
+    vectors = [(i, (centres[i % 12] + rng.normal(size=64) * 0.2).tolist()) for i in range(3000)]
+    found = topk.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), survivors=True).collect()
+    rows = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors]
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} == brute_force(rows)
+    assert sum({r["query_id"]: r["n_survivors"] for r in found}.values()) < 0.5 * 60 * 3000
+
+
+def test_large_components_do_not_change_the_way_of_the_others(spark):
+    """Rows and queries beyond exact doubles, beyond a long, and so large that products overflow."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, rng.normal(size=6).tolist()) for i in range(400)]
+    large = [(400, [1e200] * 6), (401, [1e200] * 6), (402, [-1e199] + [0.0] * 5), (450, [3e7] * 6), (403, [3e7 + 0.25] * 6), (404, [1e15, -1e15] * 3), (405, [1e306] + [0.0] * 5)]
+    found = topk.nearest(spark.createDataFrame(vectors + large, "vec_id long, embedding array<double>"), row_block=40).collect()
+    rows = [(i, [math.floor(256 * x) for x in v]) for i, v in vectors + large if math.isfinite(256 * max(v))]
+    assert len(rows) == 406 and {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} == brute_force(rows)
+
+
+def test_a_large_row_costs_its_own_pairs_only():
+    """Every pair that is not the large row's goes by doubles."""
+    rng = np.random.default_rng(5)
+    rows = np.floor(rng.normal(size=(20_000, 64)) * 256)
+    rows[7] = 1e200
+    stats = np.nan_to_num(topk.segment_statistics(rows))
+    ids = np.arange(len(rows))
+    calls = []
+    plain = topk._best_of_large
+    topk._best_of_large = lambda q, i, r, k: calls.append(len(i)) or plain(q, i, r, k)
+    try:
+        found = list(topk.search_block(ids[100:150], rows[100:150], stats[100:150], np.full(50, -np.inf), ids, rows, stats, 5))
+    finally:
+        topk._best_of_large = plain
+    assert calls == [1] * 50 and len(found) == 50
+    plus = [q for q, best, _ in found if best[0] == (2**63 - 1, 7)]
+    assert plus == [q for q in range(100, 150) if rows[q].sum() > 0]
