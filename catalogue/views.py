@@ -4,13 +4,14 @@
 - ``events`` gives warehouse query history, hourly metering and cluster events;
 - ``orders`` gives job runs, ``customer`` the cluster dump they refer to.
 
-The records are landed once per session in a raw store, from which the queries read like
-any user of the library. Money and quantities are then cast to decimals, so sums are exact
+The records are landed in a raw store, each table once per session and when a query first
+reads it; from the store the queries read like any user of the library. Money and quantities are then cast to decimals, so sums are exact
 and the comparison with another engine does not depend on the order of rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 from functools import lru_cache
@@ -427,20 +428,31 @@ LANDING = {
 }
 
 
-def land(spark: SparkSession, sf_dir: str, raw_dir: str) -> None:
-    """Write the records of all tables to a raw store."""
-    for (source, name), records in LANDING.items():
+def land(spark: SparkSession, sf_dir: str, raw_dir: str, tables: Iterable[tuple[str, str]] = tuple(LANDING)) -> None:
+    """Write the records of the tables, all of them unless named, to a raw store."""
+    for source, name in tables:
         write_records(
-            records(spark, sf_dir), source=source, table=name, output_dir=raw_dir, ingested_date=NOW.date()
+            LANDING[source, name](spark, sf_dir), source=source, table=name, output_dir=raw_dir, ingested_date=NOW.date()
         )
 
 
 @view
+def _landed_root(spark: SparkSession, sf_dir: str) -> str:
+    return new_path(spark, "landed")
+
+
+@view
+def landed_table(spark: SparkSession, sf_dir: str, source: str, name: str) -> str:
+    """The raw store with at least this table, which is written once per session."""
+    land(spark, sf_dir, _landed_root(spark, sf_dir), [(source, name)])
+    return _landed_root(spark, sf_dir)
+
+
 def landed_store(spark: SparkSession, sf_dir: str) -> str:
-    """The raw store made from the test tables, written once per session."""
-    raw_dir = new_path(spark, "landed")
-    land(spark, sf_dir, raw_dir)
-    return raw_dir
+    """The raw store made from the test tables, each written once per session."""
+    for source, name in LANDING:
+        landed_table(spark, sf_dir, source, name)
+    return _landed_root(spark, sf_dir)
 
 
 @view
@@ -469,7 +481,7 @@ def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_table(spark: SparkSession, sf_dir: str, source: str, name: str) -> DataFrame:
-    return _exact(read_raw_store(spark, landed_store(spark, sf_dir), tables=[(source, name)]))
+    return _exact(read_raw_store(spark, landed_table(spark, sf_dir, source, name), tables=[(source, name)]))
 
 
 @view

@@ -15,6 +15,9 @@ from ..functions.calendar import iso_moment
 from ..schema import DATE_COLUMNS, RECORD_COLUMNS, STORED_RECORD, TIMESTAMP_COLUMNS
 from .files import matching_dirs
 
+# a day's rows are dealt in so many parts, since a batch may have one day only
+DAY_SLICES = 64
+
 _WITH_PARTITION = T.StructType([*STORED_RECORD.fields, T.StructField("ingested_date", T.DateType(), True)])
 
 
@@ -121,7 +124,8 @@ def write_records(
 
     A record of another source than its directory fails the write, so that readers may
     choose sources by directory. Files are sorted by ``usage_date``, so that row groups
-    cover few days.
+    cover few days; before that rows are dealt into partitions of bounded size, so that no task
+    sorts more than such a one, however much of a batch it has read.
     """
     day = ingested_date or date.today()
     counted = Observation()
@@ -133,8 +137,11 @@ def write_records(
         to_stored(records)
         .withColumn("source", own)
         .withColumn("ingested_date", F.lit(day))
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .withColumn("__slice", F.pmod(F.xxhash64("resource_id"), F.lit(DAY_SLICES)))
+        .hint("rebalance", "usage_date", "__slice")
+        .drop("__slice")
         .sortWithinPartitions("ingested_date", "usage_date")
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
         .write.mode("append")
         .partitionBy("ingested_date")
         .parquet(target)

@@ -4,6 +4,7 @@ from datetime import date, datetime, timezone
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.operators.enrich import enrich_events
 from tallyspark.operators.forecast import billed_run_rate
@@ -174,3 +175,17 @@ def test_rows_of_a_file_are_sorted_by_date(spark, tmp_path):
     write(parts[0].union(parts[1]).union(parts[2]).coalesce(1), tmp_path)
     (stored,) = (tmp_path / "aws" / "cost_and_usage").rglob("*.parquet")
     assert pq.read_table(stored)["usage_date"].to_pylist() == ["2026-08-01", "2026-08-02", "2026-08-03"]
+
+
+def test_a_batch_of_one_task_and_day_is_sorted_in_parts(spark, tmp_path):
+    sizes = [f"spark.sql.adaptive.{x}" for x in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    for size in sizes:
+        spark.conf.set(size, "64k")
+    try:
+        day = records(spark).withColumn("resource_id", F.explode(F.sequence(F.lit(1), F.lit(20_000))))
+        write(day.withColumn("service", F.sha2(F.col("resource_id").cast("string"), 256)).coalesce(1), tmp_path)
+    finally:
+        for size in sizes:
+            spark.conf.unset(size)
+    assert len(list(tmp_path.rglob("*.parquet"))) > 1
+    assert rs.read_raw_store(spark, str(tmp_path)).select("resource_id").distinct().count() == 20_000
