@@ -112,7 +112,7 @@ def landing_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
         daily_service_cost(spark, sf_dir),
         source=F.lit(fv.AWS),
         resource_type=F.lit("cost_explorer_daily_service"),
-        resource_id=F.concat_ws("::", F.col("usage_date").cast("string"), "service"),
+        resource_id=F.concat(F.col("usage_date").cast("string"), F.lit("::"), "service"),
         usage_date=F.col("usage_date"),
         service=F.col("service"),
         cost_usd=F.col("cost_usd"),
@@ -164,7 +164,7 @@ def flat_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         items.join(suppliers, key == F.col("s_suppkey")),
         source=F.lit(fv.AWS),
         resource_type=F.lit("cost_explorer_daily_service"),
-        resource_id=F.concat_ws("-", "l_orderkey", "l_linenumber"),
+        resource_id=F.concat("l_orderkey", F.lit("-"), "l_linenumber"),
         usage_date=F.to_date("l_shipdate"),
         service=F.concat(F.lit("SVC_"), key),
         cost_usd=F.when(F.col("l_linenumber") != 7, cost),

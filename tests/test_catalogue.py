@@ -38,3 +38,15 @@ def test_query_equals_sql(spark, engine, name):
 
 def test_flagship(spark):
     assert entry(spark).count() > 0
+
+
+def test_items_without_keys_have_no_id(spark, tmp_path):
+    engine = duckdb.connect()
+    items = """SELECT * REPLACE (CASE WHEN i % 7 = 0 THEN NULL ELSE l_orderkey END AS l_orderkey, CASE WHEN i % 5 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
+        CASE WHEN i % 11 = 0 THEN NULL ELSE l_extendedprice END AS l_extendedprice) FROM (SELECT *, row_number() OVER () AS i FROM '{}/lineitem.parquet')"""
+    for table, text in (("lineitem", items), ("supplier", "SELECT * FROM '{}/supplier.parquet'")):
+        engine.execute(f"COPY ({text.format(SF_DIR)}) TO '{tmp_path}/{table}.parquet' (FORMAT parquet)")
+        engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet'")
+    frame = QUERIES["anomaly_null_and_flat"](spark, str(tmp_path))
+    result = engine.execute(ORACLE["anomaly_null_and_flat"])
+    assert rows_of(frame.columns, frame.collect()) == rows_of([d[0] for d in result.description], result.fetchall())
