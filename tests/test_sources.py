@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import date, datetime, timezone
 
 import pyarrow as pa
@@ -189,3 +190,21 @@ def test_a_batch_of_one_task_and_day_is_sorted_in_parts(spark, tmp_path):
             spark.conf.unset(size)
     assert len(list(tmp_path.rglob("*.parquet"))) > 1
     assert rs.read_raw_store(spark, str(tmp_path)).select("resource_id").distinct().count() == 20_000
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffle_bytes():
+        dirs = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+        return sum(os.path.getsize(os.path.join(at, f)) for d in dirs for at, _, files in os.walk(d) for f in files if f.endswith(".data"))
+
+    before = shuffle_bytes()
+    rows = spark.range(200_000).withColumn("k", F.xxhash64("id")).repartition(4, "k")
+    assert materialize(rows, "shuffled").count() == 200_000
+    for _ in range(50):  # files go in the background
+        if shuffle_bytes() < before + 100_000:
+            break
+        time.sleep(0.1)
+    assert shuffle_bytes() < before + 100_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
