@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import MergeEncoder, PieceCache
-from .common import as_table, materialize, on_worker, rows_of
+from .common import as_table, light_after, materialize, on_worker, rows_of
 
 # so many tasks share the pieces of one length when they are ranked
 SLICES = 1024
@@ -54,7 +54,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, i
             yield as_table(_PIECES, list(zip(*out)))
 
     thin = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return thin.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return thin.mapInArrow(light_after(encode), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def plan_slots(counts: Iterable[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

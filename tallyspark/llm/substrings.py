@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_table, materialize, on_worker, rows_of, text_slices
+from .common import as_table, light_after, materialize, on_worker, rows_of, text_slices
 
 WINDOW = 13
 BATCH_BYTES = 1 << 19
@@ -189,7 +189,7 @@ def _anchors(docs: DataFrame, window: int, base: int) -> DataFrame:
                 new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
                 yield as_table(schema, [_signed(h[new]), ids[np.array(rows)[owner[new]]]])
 
-    return docs.mapInArrow(find, "h long, doc_id long")
+    return docs.mapInArrow(light_after(find), "h long, doc_id long")
 
 
 def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
@@ -223,7 +223,7 @@ def _around(docs: DataFrame, window: int, base: int) -> DataFrame:
                     ]
                     yield as_table(schema, columns)
 
-    return docs.mapInArrow(find, "h long, check int, doc_id long, asks boolean")
+    return docs.mapInArrow(light_after(find), "h long, check int, doc_id long, asks boolean")
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -284,12 +284,16 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 def _with_stripped(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with a column ``__stripped`` of (n_words, n_removed, kept)."""
 
+    def strip_all(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for text, windows in batches:
+            rows = [
+                stripped(t, None if w is None else np.sort(np.asarray(w, np.int64)), window) for t, w in zip(text, windows)
+            ]
+            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+
     @F.pandas_udf("n_words long, n_removed long, kept string")
-    def strip(text: pd.Series, windows: pd.Series) -> pd.DataFrame:
-        rows = [
-            stripped(t, None if w is None else np.sort(np.asarray(w, np.int64)), window) for t, w in zip(text, windows)
-        ]
-        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
+    def strip(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        return light_after(strip_all)(batches)
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = repeated_windows(texts, window).select(F.col("doc_id").alias("__id"), F.col("windows").alias("__windows"))

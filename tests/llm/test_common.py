@@ -1,9 +1,13 @@
 import os
 import re
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from tallyspark.llm import common
+from tallyspark.llm import common, packing, substrings
+
+from .helpers import documents
 
 ROLLUP = "/proc/self/smaps_rollup"
 
@@ -24,3 +28,20 @@ def test_forgotten_state_leaves_no_memory_behind():
     common.forget()
     assert own_mb() - before < 50
     assert len(stays) == 1000 and not common._state
+
+
+def held_by_workers(spark):
+    def report(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"key": pa.array(list(common._state), pa.string())})
+
+    return {r["key"] for r in spark.range(64).repartition(64).mapInArrow(report, "key string").collect()}
+
+
+def test_idle_workers_hold_nothing_of_packing_and_substrings(spark):
+    common.ship_package(spark)
+    docs = documents(spark).repartition(8)
+    assert packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).count() >= 12
+    assert not [k for k in held_by_workers(spark) if k.startswith("packing")]
+    assert substrings.without_repeats(docs).count() == 12
+    assert "powers" not in held_by_workers(spark)
