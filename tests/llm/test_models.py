@@ -163,6 +163,30 @@ def test_words_are_encoded_as_the_encoder_does():
         assert known._ids(word.encode()) == spans(encoder, word.encode()), word
 
 
+def test_signs_after_letters_are_encoded_as_the_encoder_does():
+    known = language_model.Company(open(VOCABULARY, encoding="utf-8").read())
+    signs = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    for core in ["abc", "", "é", "ab1", "日", "abc's", "e\u0301"]:
+        for tail in [*signs, "$$$", "...", "'s", "'s.", ".'s", "<|", "|>", "<|endoftext|>", "_a_", "!'", "\x01", "\x7f"]:
+            word = (core + tail).encode()
+            assert known._ids(word) == spans(known.encoder, word), word
+
+
+def test_texts_read_together_look_up_each_word_once(monkeypatch):
+    known = language_model.Company(open(VOCABULARY, encoding="utf-8").read())
+    asked = []
+    numbers = language_model.Words.numbers
+    monkeypatch.setattr(language_model.Words, "numbers", lambda self, words: (asked.extend(words), numbers(self, words))[1])
+    texts = ["B a\u00a0b b  a", None, "", " \t\n\v\f\r ", "\x00 \x1c\x1d x\x85y É\u2003é\x1f a ", "a B\u0130 \ta " * 500, "Z"]
+    want = [[w for part in language_model.words_of(t) for w in part] for t in texts]
+    got = known.read(texts)
+    assert [[known.words[i] for i in line.tolist()] for line in got] == want
+    assert len(asked) == len(set(asked)) == len({w for line in want for w in line})
+    monkeypatch.setattr(language_model, "CHUNK_CHARS", 20)  # long texts, slice by slice, between short ones
+    assert [[known.words[i] for i in line.tolist()] for line in known.read(texts)] == want
+    assert known.read([]) == []
+
+
 def test_shares_of_a_class_add_up_to_one(spark, monkeypatch):
     model, _, counts, encoder = fit_model(spark, documents(spark), monkeypatch)
     by_class = {}
