@@ -172,6 +172,17 @@ def test_signs_after_letters_are_encoded_as_the_encoder_does():
             assert known._ids(word) == spans(known.encoder, word), word
 
 
+def test_words_encoded_together_are_as_the_encoder_has_them():
+    known = language_model.Company(open(VOCABULARY, encoding="utf-8").read())
+    rng = np.random.default_rng(5)
+    signs = [chr(c) for c in [*range(1, 9), *range(0x0E, 0x20), *range(0x21, 0x260), 0x307, 0x3A3, 0x2003, 0x65E5, 0x1F600]]
+    found = ["".join(rng.choice(signs, n)) for n in rng.integers(1, 7, 3000)] + signs + ["<|endoftext|>", "it's", "ab\x01c", "e\u0301a"]
+    given = [w.encode() for w in found] + [b"the", b"an.", b"12", b"x$$$"] * 3
+    flat, sizes = known.encoded(given)
+    assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [spans(known.encoder, w) for w in given]
+    assert not sum(map(len, known.encoded([])))
+
+
 def test_texts_read_together_look_up_each_word_once(monkeypatch):
     known = language_model.Company(open(VOCABULARY, encoding="utf-8").read())
     asked = []
