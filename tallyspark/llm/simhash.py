@@ -183,9 +183,11 @@ def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def printed(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t or "") for t in texts], np.uint64).astype(np.int64))
 
-    # ids that repeat, and null ids, are told apart by their texts
-    repeated = chosen.filter("__times > 1").select("__chosen").distinct()
+    # ids that repeat, and null ids, are told apart by their texts; these rows are staged, since Spark would
+    # else hash and shuffle all texts for them: it moves the last join below the first
+    repeated = materialize(chosen.filter("__times > 1").select("__chosen").distinct(), "repeated-ids")
     several = docs.join(repeated, key == F.col("__chosen"), "left_semi").unionByName(docs.filter(key.isNull()))
+    several = materialize(several, "rows-of-repeated-ids")
     several = several.withColumn("__own", F.col(id_col).cast("long")).withColumn("__seen", printed(F.col(text_col).cast("string")))
     same = F.col("__own").eqNullSafe(F.col("__chosen")) & (F.col("__seen") == F.col("__print"))
     several = several.join(chosen.select("__chosen", "__print"), same, "left_semi").dropDuplicates(["__own", "__seen"])

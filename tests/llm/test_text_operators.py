@@ -216,6 +216,16 @@ def test_each_component_keeps_one_row(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
 
 
+def test_only_rows_of_repeated_ids_are_hashed_again(spark, tmp_path):
+    rows = [(i, f"word{i} of{i * 7} text{i * i} number{i}") for i in range(20)] + [(3, "another text of three"), (None, "lost words here")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    kept = simhash.representatives(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert kept.count() == 22
+    # what is read of the documents is joined by id only; hashes are of staged rows
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and plan.count("documents.parquet") == 1
+
+
 def thue_morse(size, first, second):
     return "".join((first, second)[i.bit_count() % 2] for i in range(size))
 
