@@ -245,3 +245,14 @@ def test_rare_toxic_words_vote(spark):
     labels = spark.createDataFrame([(i, int("filler" not in t)) for i, t in enumerate(texts)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     assert any(p.startswith("zor") for p in model.patterns) and any(p.startswith("gru") for p in model.patterns)
+
+
+def test_weights_are_trained_in_one_row():
+    model = language_model.AttentionModel(np.ones(5, np.int64), [b""] * 5, np.zeros(5, bool))
+    model.prepare()
+    before = {n: w.copy() for n, w in model.weights.items()}
+    codes, goals, _ = language_model.windows_of([np.array([[1, 2, 3], [1, 2, 3], [4, 5, 6]])], 5)
+    model.embedding[:] = 1
+    assert model.train(iter([(model.inputs(codes), codes[:, 0] > 5, goals)]), 0.1) == len(goals)
+    assert all(w.shape == before[n].shape and not np.array_equal(w, before[n]) for n, w in model.weights.items() if n in "do")
+    assert len({w.__array_interface__["data"][0] - w.base.__array_interface__["data"][0] for w in model.weights.values()}) == len(before)
